@@ -66,14 +66,14 @@ class Layout:
 BLOCK_BYTES, LEAST_BLOCK, SHARD_KEYS = 8 << 20, 1 << 18, 1 << 20
 
 
-def layout_of(docs: DataFrame, text: str, keys_per_byte: float, spare_bits: int) -> Layout:
-    """One scan for the corpus size; blocks of at most about 8 MB of text and shards of about a million keys.
+def layout_of(docs: DataFrame, text: str, keys_per_byte: float, spare_bits: int, block_bytes: int = BLOCK_BYTES) -> Layout:
+    """One scan for the corpus size; blocks of about ``block_bytes`` of text at most and shards of about a million keys.
 
     Keys keep log2(number of keys) + ``spare_bits`` bits, so a key is shared by chance once in 2**spare_bits.
     """
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     tasks = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(math.ceil(size / BLOCK_BYTES), min(tasks, math.ceil(size / LEAST_BLOCK)), 1)
+    blocks = max(math.ceil(size / block_bytes), min(tasks, math.ceil(size / LEAST_BLOCK)), 1)
     keys = max(1, int(size * keys_per_byte))
     shards = max(math.ceil(keys / SHARD_KEYS), min(tasks // 2, math.ceil(keys / 50_000)), 1)
     return Layout(blocks, shards, min(64, max(24, keys.bit_length() + spare_bits)))
