@@ -23,7 +23,7 @@ from .storage import materialise
 END = tk.mix(np.array([0x0E17D], dtype=np.uint64))[0]
 SALT = tk.mix(np.arange(1, 9, dtype=np.uint64))
 #: Dirichlet masses of orders 2, 3, ...
-MASS = (400.0, 8.0)
+MASS = (2000.0, 2.0)
 
 
 def held_out(ids: list, folds: int, fold: int) -> np.ndarray:

@@ -1,6 +1,6 @@
 """Toxicity (operator 4): a factorization machine over hashed terms.
 
-Terms are hashed words of a text, once each. Beside a weight per term the machine learns a vector per term; inner
+Terms are hashed words of a text and the heads of its longer words, once each. Beside a weight per term the machine learns a vector per term; inner
 products of two terms' vectors weigh their meeting in one text, such as an insult and the mention of a group, which no
 additive weights can. It is fitted on the driver from a bounded sample of labelled rows, as sparse term lists; all
 texts are then scored in one narrow stage with the model, whose size is fixed.
@@ -19,6 +19,7 @@ from . import textkit as tk
 from .decontamination import plain_words
 
 TERM_BITS = 18
+HEADS = (4, 6)  # bytes: inflected and compounded forms share a head
 SAMPLE_ROWS = 24_000
 
 
@@ -28,20 +29,26 @@ class FitOptions:
 
     sample_rows: int = SAMPLE_ROWS
     factors: int = 8
-    terms: int = 8192
+    terms: int = 2048
     least_rows: int = 5
-    epochs: int = 12
+    epochs: int = 20
     batch: int = 256
     rate: float = 0.08
-    decay: float = 2e-5
+    decay: float = 1e-4
     seed: int = 7
 
 
 def terms_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashed terms of each row, and the rows' first ones (n + 1)."""
+    """Distinct hashed terms of each row, words and the heads of longer words, and the rows' first ones (n + 1)."""
     w = plain_words(buf, off)
-    term = (w.hash >> np.uint64(64 - TERM_BITS)).astype(np.int64)
-    key = np.unique((tk.row_of(w.first) << TERM_BITS) | term)
+    rows = tk.row_of(w.first)
+    keys = [(rows << TERM_BITS) | (w.hash >> np.uint64(64 - TERM_BITS)).astype(np.int64)]
+    for head in HEADS:
+        long = np.flatnonzero(w.end - w.start > head)
+        h = tk.span_hash(buf, w.start[long], w.start[long] + head, tk.LOWER_CODE)
+        h = tk.mix(h ^ np.uint64(head))
+        keys.append((rows[long] << TERM_BITS) | (h >> np.uint64(64 - TERM_BITS)).astype(np.int64))
+    key = np.unique(np.concatenate(keys))
     return key & ((1 << TERM_BITS) - 1), np.searchsorted(key >> TERM_BITS, np.arange(len(off)))
 
 
