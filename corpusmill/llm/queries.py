@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, token_counts, toxicity
+from . import decontamination, line_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, token_counts, toxicity, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,10 +32,18 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_sets(_table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_urls(_table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.repetition_measures(_table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(_table(spark, sf_dir, "documents"))
 
@@ -46,7 +54,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_decontamination, op3_best_fit_packing, op4_toxicity, op5_ngram_jaccard_join,
-    op7_quality_rules, op9_lm_scoring, op10_substring_dedup,
+    op6_url_filters, op7_quality_rules, op8_line_dedup, op9_lm_scoring, op10_substring_dedup,
 )}
 
 ORACLES: dict[str, str] = {}
