@@ -156,6 +156,7 @@ def similar_sets(
     entries = materialise(entries.join(crowd, "token"), "entries")
     payload = rows.filter(F.col("shared").isNotNull()).select("node", "n", "shared")
 
+    heads = rows.filter(F.size("token") > 0).groupBy("node").agg(F.first("token").alias("head"))
     edges = None
     live = entries.withColumn("component", F.col("node"))
     for turn in range(PIVOT_ROUNDS + 1):
@@ -163,6 +164,9 @@ def similar_sets(
         x, y = F.col("a.node"), F.col("b.node")
         differ = (x < y) if everything else (x != y)
         on = (F.col("a.token") == F.col("b.token")) & differ & (F.col("a.component") != F.col("b.component"))
+        if everything:  # a pair leaves the join at its first common n-gram only
+            live = materialise(live.join(heads, "node"), "open")
+            on = on & (F.array_intersect("a.head", "b.head")[0] == F.col("a.token"))
         others = live if everything else _pivots(live, turn)
         near = live.alias("a").join(others.alias("b"), on & _candidate("a", "b", percent))
         pairs = materialise(near.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct(), "pairs")
