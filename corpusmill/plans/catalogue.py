@@ -1,7 +1,707 @@
-"""Catalogue of registered queries."""
-QUERIES = {}
-ORACLES = {}
+"""Registered queries of the library, each with the SQL that must give the same rows where SQL can express it."""
 
+from __future__ import annotations
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import FilterConfig
+from ..functions import markup
+from ..functions import minhash as mh
+from ..functions import text as tx
+from ..operators import annotate, batching, dedup, features, lines
+from ..operators.release import release
+from ..sources import crawl
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+P = mh.P
+
+
+def query(sql: str | None = None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return put
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Small tables come as one file; CPU-bound UDFs want all cores. Large scans have partitions enough."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if len(df.inputFiles()) < want else df
+
+
+def _quoted(text: str) -> str:
+    return text.replace("'", "''")
+
+
+# ---- scalar features -------------------------------------------------------------------------------------------
+
+PUNCT = _quoted(tx.PUNCTUATION)
+
+
+def _norm(text: str) -> str:
+    return rf"trim(regexp_replace(lower(translate({text}, '{PUNCT}', '')), '\s+', ' ', 'g'))"
+
+
+ALNUM = r"CASE WHEN length(text) = 0 THEN 0.0 ELSE length(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g')) / length(text)::DOUBLE END"
+DOMAIN = r"'https?://(?:www\.)?([^/:?]+)'"
+
+
+@query("SELECT doc_id, length(text)::BIGINT AS content_length FROM documents")
+def content_length(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", tx.content_length(F.col("text")).alias("content_length"))
+
+
+@query(f"SELECT doc_id, round({ALNUM}, 9) AS ratio_alphanumeric_chars FROM documents")
+def ratio_alphanumeric(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.round(tx.ratio_alphanumeric(F.col("text")), 9).alias("ratio_alphanumeric_chars"))
+
+
+@query(f"SELECT doc_id, {_norm('text')} AS norm FROM documents")
+def normalize_text(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", tx.normalize_text(F.col("text"), nfd=False).alias("norm"))
+
+
+@query(
+    f"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '# ' || text ELSE text END AS text FROM documents),
+    l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM t),
+    c AS (SELECT doc_id, sum(CASE WHEN starts_with(x, '#') THEN 1 ELSE 0 END) AS h,
+      sum(CASE WHEN starts_with(x, '#') THEN 0 ELSE len(list_filter(string_split({_norm("x")}, ' '), lambda w: w <> '')) END) AS n FROM l GROUP BY doc_id)
+    SELECT doc_id, round(CASE WHEN n = 0 THEN 0.0 ELSE h / n::DOUBLE END, 9) AS ratio FROM c"""
+)
+def heading_ratio(spark, sf_dir):
+    text = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("# "), "text")).otherwise(F.col("text"))
+    return _docs(spark, sf_dir).select("doc_id", text.alias("text")).select("doc_id", F.round(tx.heading_ratio(F.col("text")), 9).alias("ratio"))
+
+
+WORDS_SQL = f"w AS (SELECT doc_id, unnest(string_split({_norm('text')}, ' ')) AS word FROM documents), k AS (SELECT doc_id, word, count(*) AS n FROM w WHERE word <> '' GROUP BY doc_id, word)"
+
+
+@query(f"WITH {WORDS_SQL} SELECT doc_id, word, n FROM k")
+def word_counts(spark, sf_dir):
+    return features.word_counts(_docs(spark, sf_dir))
+
+
+@query(
+    f"""WITH {WORDS_SQL}, e AS (SELECT doc_id, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS x FROM k GROUP BY doc_id)
+    SELECT doc_id, round(coalesce(x, 0.0), 6) + 0.0 AS unigram_entropy FROM documents LEFT JOIN e USING (doc_id)"""
+)
+def unigram_entropy(spark, sf_dir):
+    e = tx.unigram_entropy(F.col("text"))
+    return _docs(spark, sf_dir).select("doc_id", (F.round(e, 6) + 0.0).alias("unigram_entropy"))
+
+
+@query(f"SELECT page_id, regexp_extract(url, {DOMAIN}, 1) AS domain FROM pages")
+def url_domain(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", tx.url_domain(F.col("url")).alias("domain"))
+
+
+BLACKLIST = ("cheap-pills.example.com", "spam-farm.example.org")
+
+
+@query(
+    f"""WITH u AS (SELECT page_id, CASE WHEN page_id % 10 = 0 THEN 'ftp://' || page_id ELSE url END AS url FROM pages)
+    SELECT page_id, CASE WHEN regexp_matches(url, {DOMAIN}) THEN regexp_extract(url, {DOMAIN}, 1) IN {BLACKLIST} ELSE true END AS blacklisted FROM u"""
+)
+def domain_blacklist(spark, sf_dir):
+    url = F.when(F.col("page_id") % 10 == 0, F.concat(F.lit("ftp://"), F.col("page_id").cast("string"))).otherwise(F.col("url"))
+    return _pages(spark, sf_dir).select("page_id", tx.is_domain_blacklisted(url, BLACKLIST, "keep").alias("blacklisted"))
+
+
+_COUNT = "len(regexp_extract_all(p, ' ({}) '))"
+_LANG = ", ".join(f"{_COUNT.format('|'.join(w))} AS {k}" for k, w in tx.STOP_WORDS.items())
+
+
+@query(
+    f"""WITH p AS (SELECT doc_id, ' ' || replace(lower(replace(text, chr(10), '')), ' ', '  ') || ' ' AS p FROM documents),
+    c AS (SELECT doc_id, {_LANG} FROM p), m AS (SELECT *, greatest(de, en, es, fr) AS best FROM c)
+    SELECT doc_id, CASE WHEN best = 0 THEN 'und' WHEN de = best THEN 'de' WHEN en = best THEN 'en' WHEN es = best THEN 'es' ELSE 'fr' END AS language FROM m"""
+)
+def language_id(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", tx.language(F.col("text")).alias("language"))
+
+
+def _filtered(spark, sf_dir, cfg: FilterConfig) -> DataFrame:
+    docs = _docs(spark, sf_dir).withColumn("url", F.concat(F.lit("https://www."), "source", F.lit(".example/"), F.col("doc_id").cast("string")))
+    done = features.with_verdict(features.with_features(docs, features.default_features(cfg)), cfg)
+    return done.select(
+        "doc_id", "content_length", "is_domain_blacklisted", F.round("ratio_alphanumeric_chars", 9).alias("ratio_alphanumeric_chars"),
+        F.round("ratio_headings_per_non_heading_word", 9).alias("ratio_headings_per_non_heading_word"), "passes_all_quality_filters",
+    )
+
+
+def _quality_sql(black: str, low: float) -> str:
+    return f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents),
+    c AS (SELECT doc_id, sum(CASE WHEN starts_with(x, '#') THEN 1 ELSE 0 END) AS h,
+      sum(CASE WHEN starts_with(x, '#') THEN 0 ELSE len(list_filter(string_split({_norm("x")}, ' '), lambda w: w <> '')) END) AS n FROM l GROUP BY doc_id),
+    f AS (SELECT doc_id, length(text)::BIGINT AS content_length, source IN {black} AS is_domain_blacklisted, {ALNUM} AS a,
+      CASE WHEN n = 0 THEN 0.0 ELSE h / n::DOUBLE END AS r FROM documents JOIN c USING (doc_id))
+    SELECT doc_id, content_length, is_domain_blacklisted, round(a, 9) AS ratio_alphanumeric_chars, round(r, 9) AS ratio_headings_per_non_heading_word,
+      content_length BETWEEN 100 AND 1e10 AND NOT is_domain_blacklisted AND a BETWEEN {low} AND 1.0 AND r BETWEEN 0.0 AND 0.05 AS passes_all_quality_filters FROM f"""
+
+
+@query(_quality_sql(black="('')", low=0.4))
+def quality_filter(spark, sf_dir):
+    return _filtered(spark, sf_dir, FilterConfig())
+
+
+@query(_quality_sql(black="('src1', 'src2')", low=0.8))
+def quality_filter_thresholds(spark, sf_dir):
+    return _filtered(spark, sf_dir, FilterConfig(alphanumeric=(0.8, 1.0), blacklisted_domains=("src1.example", "src2.example")))
+
+
+# ---- MinHash and dedup -----------------------------------------------------------------------------------------
+
+
+@query(r"SELECT doc_id, regexp_replace(lower(text), '[^\p{L}\p{N}_ ]', '-', 'g') AS t FROM documents")
+def minhash_normalize(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", mh.normalize_for_minhash(F.col("text")).alias("t"))
+
+
+@query(
+    f"""WITH i AS (SELECT l_orderkey, l_linenumber, (l_orderkey * 100003 * 100019 * 1001) % {P} AS a, (l_suppkey * 99999999977) % {P} AS b,
+      (l_partkey * 1000003 * 100019 * 101 + l_linenumber) % {P} AS x FROM lineitem)
+    SELECT l_orderkey, l_linenumber, ((a::HUGEINT * x::HUGEINT + b::HUGEINT) % {P})::BIGINT AS r FROM i"""
+)
+def affine_61(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    p = F.lit(P)
+    a = (F.col("l_orderkey") * 100003 * 100019 * 1001) % p
+    b = (F.col("l_suppkey") * F.lit(99999999977)) % p
+    x = (F.col("l_partkey") * 1000003 * 100019 * 101 + F.col("l_linenumber")) % p
+    return rows.select("l_orderkey", "l_linenumber", mh.affine61_column(a, b, x).alias("r"))
+
+
+_Z = ", ".join(f"{pow(mh.constants()[3], k, P)}::HUGEINT" for k in range(16))
+
+
+@query(
+    rf"""WITH c AS (SELECT doc_id, list_transform(regexp_extract_all(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}_ ]', '-', 'g'), '(?s).'), lambda c: unicode(c)) AS o FROM documents),
+    h AS (SELECT doc_id, list_transform(range(1, len(o) - 14), lambda j: (list_sum(list_transform(range(0, 16), lambda k: ([{_Z}][k + 1] * o[j + k]) % {P})) % {P})::BIGINT) AS h FROM c)
+    SELECT doc_id, len(h)::BIGINT AS n_shingles, coalesce(list_min(h), 0) AS least, coalesce(list_max(h), 0) AS greatest FROM h"""
+)
+def shingle_hashes(spark, sf_dir):
+    h = _spread(_docs(spark, sf_dir)).select("doc_id", mh.shingle_column(mh.normalize_for_minhash(F.col("text"))).alias("h"))
+    return h.select("doc_id", F.size("h").cast("long").alias("n_shingles"), F.coalesce(F.array_min("h"), F.lit(0)).alias("least"), F.coalesce(F.array_max("h"), F.lit(0)).alias("greatest"))
+
+
+@query()
+def minhash_constants(spark, sf_dir):
+    a, b, c, _ = mh.constants()
+    rows = [(i, int(x), int(y), int(z)) for i, (x, y, z) in enumerate(zip(a, b, c, strict=True))]
+    return spark.createDataFrame(rows, "p int, a long, b long, c long")
+
+
+@query()
+def minhash_signature(spark, sf_dir):
+    s = _spread(_docs(spark, sf_dir)).select("doc_id", mh.signature_column(mh.normalize_for_minhash(F.col("text"))).alias("s"))
+    return s.select("doc_id", F.posexplode("s").alias("p", "minimum"))
+
+
+def _buckets(spark, sf_dir, more: tuple[str, ...] = ()) -> DataFrame:
+    docs = features.with_minhash(_spread(_docs(spark, sf_dir)).select(F.col("doc_id").alias("id"), "text", *more))
+    return docs.drop("text")
+
+
+@query()
+def minhash_buckets(spark, sf_dir):
+    b = _buckets(spark, sf_dir)
+    return b.select(F.col("id").alias("doc_id"), F.posexplode(F.array(*dedup.bucket_names(b))).alias("bucket", "value"))
+
+
+@query()
+def dedup_chain(spark, sf_dir):
+    passes = dedup.survivors_by_pass(_buckets(spark, sf_dir).checkpoint() if _can_checkpoint(spark) else _buckets(spark, sf_dir))
+    out = None
+    for i, s in enumerate(passes):
+        one = s.select(F.lit(i).alias("pass"), F.col("id").alias("doc_id"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _can_checkpoint(spark) -> bool:
+    """Whether the session names a shared folder to cut lineage in; without one the plan stays whole."""
+    return bool(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+
+
+@query()
+def dedup_keep(spark, sf_dir):
+    b = _buckets(spark, sf_dir)
+    return dedup.with_dedup_keep(_docs(spark, sf_dir).select(F.col("doc_id").alias("id")), b).select(F.col("id").alias("doc_id"), "dedup_keep")
+
+
+@query()
+def dedup_per_group(spark, sf_dir):
+    b = _buckets(spark, sf_dir, ("source",))
+    docs = _docs(spark, sf_dir).select(F.col("doc_id").alias("id"), "source")
+    return dedup.with_dedup_keep(docs, b, scope="source").select(F.col("id").alias("doc_id"), "source", "dedup_keep")
+
+
+@query(
+    """WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents), l AS (SELECT doc_id, unnest(a) AS line, generate_subscripts(a, 1) AS n FROM s),
+    f AS (SELECT *, row_number() OVER (PARTITION BY sha1(lower(trim(line, ' '))) ORDER BY doc_id, n) AS r FROM l)
+    SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (r = 1), '') AS text FROM f GROUP BY doc_id"""
+)
+def paragraph_dedup(spark, sf_dir):
+    return dedup.paragraph_dedup(_docs(spark, sf_dir))
+
+
+# ---- joins, release, personal data -----------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, lang, source, length(text)::BIGINT AS content_length FROM documents")
+def stage_align_join(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    return batching.aligned(d.select("doc_id", "lang", "source"), d.select("doc_id", tx.content_length(F.col("text")).alias("content_length")), "doc_id")
+
+
+@query()
+def release_export(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    docs = d.withColumns({"id": F.col("doc_id"), "url": F.concat(F.lit("https://"), "source", F.lit("/"), F.col("doc_id").cast("string"))})
+    quality = features.with_verdict(features.with_features(docs, features.default_features())).select("id", "language", "passes_all_quality_filters")
+    flags = dedup.with_dedup_keep(docs.select("id"), _buckets(spark, sf_dir))
+    return release(docs.select("id", "url", "source"), docs.select("id", "text"), quality, flags).select(F.col("id").alias("doc_id"), "url", "text", "language")
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return release_export(spark, sf_dir)
+
+
+@query(f"SELECT doc_id, len(regexp_extract_all(text, '{tx.EMAIL}'))::BIGINT AS n_emails FROM documents")
+def pii_emails(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", tx.email_count(F.col("text")).alias("n_emails"))
+
+
+@query()
+def pii_ips(spark, sf_dir):
+    t = F.col("text")
+    return _docs(spark, sf_dir).select("doc_id", tx.ip_count(t, False).alias("n_ips"), tx.ip_count(t).alias("n_public_ips"))
+
+
+@query(f"SELECT doc_id, regexp_replace(text, '{tx.EMAIL}', '<email>', 'g') AS masked FROM documents")
+def pii_mask_emails(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", tx.mask_emails(F.col("text")).alias("masked"))
+
+
+@query()
+def pii_mask(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", tx.mask_pii(F.col("text")).alias("masked"))
+
+
+# ---- crawl planning --------------------------------------------------------------------------------------------
+
+_CDX = """i AS (SELECT url, 'f' || (page_id % 7) || '.warc.gz' AS filename, page_id * 1000 AS "offset", length(html)::BIGINT AS "length" FROM pages)"""
+
+
+def _index(spark, sf_dir) -> DataFrame:
+    text = lambda c: F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
+    told = F.to_json(
+        F.struct(
+            F.col("url"), F.concat(F.lit("f"), text(F.col("page_id") % 7), F.lit(".warc.gz")).alias("filename"),
+            text(F.col("page_id") * 1000).alias("offset"), text(F.length("html")).alias("length"),
+        )
+    )
+    value = F.concat(F.lit("com,example)/"), text("page_id"), F.lit(" 20240101000000 "), told)
+    return _pages(spark, sf_dir).select(value.alias("value")).select(*crawl.cdx_columns(F.col("value")))
+
+
+@query("SELECT DISTINCT url FROM pages")
+def mined_urls_distinct(spark, sf_dir):
+    p = _pages(spark, sf_dir).select("url")
+    return p.union(p).distinct()
+
+
+@query(f'WITH {_CDX} SELECT url, filename, "offset", "length" FROM i')
+def cdx_parse(spark, sf_dir):
+    return _index(spark, sf_dir)
+
+
+@query(f"WITH {_CDX} SELECT url, filename FROM i WHERE url IN (SELECT url FROM pages WHERE page_id % 3 = 0)")
+def url_semi_join(spark, sf_dir):
+    return crawl.wanted(_index(spark, sf_dir), _pages(spark, sf_dir).filter("page_id % 3 = 0")).select("url", "filename")
+
+
+_INDEX = f"""{_CDX}, d AS (SELECT DISTINCT filename, "offset" AS o, "length" AS n FROM i)"""
+
+
+@query(f"WITH {_INDEX} SELECT filename, string_agg(o || '+' || n, ',' ORDER BY o, n) AS ranges, count(*) AS n_ranges FROM d GROUP BY filename")
+def warc_index(spark, sf_dir):
+    i = crawl.warc_index(_index(spark, sf_dir))
+    shown = F.transform("ranges", lambda r: F.concat(r["offset"].cast("string"), F.lit("+"), r["length"].cast("string")))
+    return i.select("filename", F.array_join(shown, ",").alias("ranges"), F.size("ranges").cast("long").alias("n_ranges"))
+
+
+@query(f"WITH {_CDX} SELECT count(*) AS n_urls FROM i")
+def warc_index_count(spark, sf_dir):
+    return _index(spark, sf_dir).agg(F.count("*").alias("n_urls"))
+
+
+@query(
+    f"""WITH {_INDEX}, r AS (SELECT *, (row_number() OVER (PARTITION BY filename ORDER BY o, n) - 1) // 10 AS k FROM d)
+    SELECT filename, k::INTEGER AS request_no, 'bytes=' || string_agg(o || '-' || (o + n - 1), ', ' ORDER BY o, n) AS header FROM r GROUP BY filename, k"""
+)
+def byte_range_requests(spark, sf_dir):
+    return crawl.byte_range_requests(crawl.warc_index(_index(spark, sf_dir)), 10)
+
+
+@query("SELECT page_id, 'crawl-data/x/' || page_id AS suffix FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT page_id, '/local/' || page_id FROM pages WHERE page_id % 2 = 1")
+def warc_suffix(spark, sf_dir):
+    path = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("s3://bucket/crawl-data/x/"), F.col("page_id").cast("string"))).otherwise(F.concat(F.lit("/local/"), F.col("page_id").cast("string")))
+    return _pages(spark, sf_dir).select("page_id", tx.warc_suffix(path).alias("suffix"))
+
+
+# ---- groups and shards -----------------------------------------------------------------------------------------
+
+_GROUPS = """WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), s AS (SELECT n, {step} AS step FROM n),
+    g AS (SELECT 0 AS k, 0.0::DOUBLE AS pos UNION ALL SELECT k + 1, pos + step FROM g, s WHERE round_even(pos + step, 0) < n),
+    r AS (SELECT page_id, row_number() OVER (ORDER BY url, page_id) - 1 AS r FROM pages)
+    SELECT page_id, r AS row_no, k AS group_no FROM r, g, s WHERE r >= round_even(pos, 0) AND r < round_even(pos + step, 0)"""
+
+
+def _grouped(spark, sf_dir, **how):
+    p = _pages(spark, sf_dir).select("page_id", "url")
+    return batching.grouped(p, ["url", "page_id"], **how).select("page_id", "row_no", "group_no")
+
+
+@query(_GROUPS.format(step="n / 7::DOUBLE"))
+def group_num(spark, sf_dir):
+    return _grouped(spark, sf_dir, num_groups=7)
+
+
+@query(_GROUPS.format(step="16::DOUBLE"))
+def group_size(spark, sf_dir):
+    return _grouped(spark, sf_dir, group_size=16)
+
+
+@query(_GROUPS.format(step="n / 5::DOUBLE"))
+def shard_assign(spark, sf_dir):
+    return _grouped(spark, sf_dir, num_groups=5)
+
+
+@query("SELECT page_id, (row_number() OVER (ORDER BY url, page_id) - 1) // 32 AS batch_no FROM pages")
+def fixed_batch(spark, sf_dir):
+    return batching.fixed_batches(_pages(spark, sf_dir).select("page_id", "url"), ["url", "page_id"], 32).select("page_id", "batch_no")
+
+
+@query("SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY doc_id) <= 100 THEN 'val' ELSE 'train' END AS split FROM documents")
+def train_val_split(spark, sf_dir):
+    return batching.train_val_split(_docs(spark, sf_dir).select("doc_id"), ["doc_id"]).select("doc_id", "split")
+
+
+def _shards(spark, sf_dir) -> DataFrame:
+    dump = F.concat(F.lit("2024-"), F.lpad((F.col("page_id") % 52).cast("string"), 2, "0"))
+    return _pages(spark, sf_dir).select("page_id", dump.alias("dump"), F.lpad(F.col("page_id").cast("string"), 6, "0").alias("shard"))
+
+
+_SHARDS = "s AS (SELECT page_id, '2024-' || lpad((page_id % 52)::VARCHAR, 2, '0') AS dump, lpad(page_id::VARCHAR, 6, '0') AS shard FROM pages)"
+
+
+@query(f"WITH {_SHARDS} SELECT dump, shard FROM s WHERE page_id % 3 <> 0")
+def missing_shards(spark, sf_dir):
+    s = _shards(spark, sf_dir)
+    return batching.missing_shards(s.select("dump", "shard"), s.filter("page_id % 3 = 0").select("dump", "shard"))
+
+
+@query(f"WITH {_SHARDS} SELECT page_id, dump, shard FROM s")
+def shard_path_parse(spark, sf_dir):
+    s = _shards(spark, sf_dir).withColumn("path", F.concat(F.lit("/data/out/"), "dump", F.lit("/"), "shard", F.lit(".parquet")))
+    dump, shard = batching.shard_of_path(F.col("path"))
+    return s.select("page_id", dump.alias("dump"), shard.alias("shard"))
+
+
+@query()
+def shard_lineage(spark, sf_dir):
+    return batching.with_lineage(_docs(spark, sf_dir)).select("doc_id", F.regexp_extract("shard", r"([^/]+)$", 1).alias("shard"))
+
+
+@query(f"WITH {_SHARDS} SELECT dump, shard, page_id * 2 AS l, page_id * 3 AS r FROM s")
+def shard_zip(spark, sf_dir):
+    s = _shards(spark, sf_dir)
+    a, b = s.select("dump", "shard", (F.col("page_id") * 2).alias("l")), s.select("dump", "shard", (F.col("page_id") * 3).alias("r"))
+    return batching.zipped_shards(a, b, ["dump", "shard"])
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 1")
+def shard_union(spark, sf_dir):
+    d = _docs(spark, sf_dir).select("doc_id", "lang")
+    return d.filter("doc_id % 2 = 0").unionByName(d.filter("doc_id % 2 = 1"))
+
+
+# ---- lines -----------------------------------------------------------------------------------------------------
+
+_LINES = """a AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents),
+    l AS (SELECT doc_id, (generate_subscripts(a, 1) - 1)::INTEGER AS line_no, unnest(a) || CASE WHEN generate_subscripts(a, 1) < len(a) THEN chr(10) ELSE '' END AS line FROM a),
+    e AS (SELECT * FROM l WHERE line <> '')"""
+_SCORE = r"""least(len(list_filter(string_split(line, ' '), lambda w: w <> '')), 30) * 0.2
+    + CASE WHEN length(line) = 0 THEN 0.0 ELSE length(regexp_replace(line, '[^\p{L}]', '', 'g')) / length(line)::DOUBLE END * 4.0
+    - CASE WHEN regexp_matches(line, '\||https?:') THEN 3.0 ELSE 0.0 END - 3.0"""
+_SCORED = f"{_LINES}, s AS (SELECT doc_id, line_no, line, 1.0 / (1.0 + exp(-(({_SCORE})::DOUBLE))) AS score FROM e)"
+
+
+@query(f"WITH {_LINES} SELECT doc_id, line_no, line FROM e")
+def line_explode(spark, sf_dir):
+    return lines.explode_lines(_docs(spark, sf_dir))
+
+
+@query("SELECT doc_id, (length(text) - length(replace(text, chr(10), '')))::BIGINT AS n FROM documents")
+def newline_count(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", tx.newline_count(F.col("text")).alias("n"))
+
+
+@query("SELECT doc_id, replace(replace(CASE WHEN ends_with(text, chr(10)) THEN text ELSE text || chr(10) END, '[SEP]', ''), chr(10), '[SEP]') AS text FROM documents")
+def sep_encode(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", tx.encode_separators(F.col("text"), "[SEP]").alias("text"))
+
+
+@query(f"WITH {_SCORED} SELECT doc_id, line_no, round(score, 6) AS score FROM s")
+def line_scores(spark, sf_dir):
+    each = _docs(spark, sf_dir).select("doc_id", F.posexplode(lines.line_scores(F.col("text"))).alias("line_no", "score"))
+    return each.select("doc_id", "line_no", F.round("score", 6).alias("score"))
+
+
+def _line_filter(spark, sf_dir, strict: bool) -> DataFrame:
+    scores = F.transform(lines.line_scores(F.col("text")), lambda s: F.round(s, 2))
+    return _docs(spark, sf_dir).select("doc_id", lines.filter_lines(F.col("text"), scores, 0.95, strict).alias("text"))
+
+
+def _filtered_sql(sign: str) -> str:
+    return f"WITH {_SCORED} SELECT doc_id, coalesce(string_agg(line, '' ORDER BY line_no) FILTER (round(score, 2) {sign} 0.95), '') AS text FROM s GROUP BY doc_id"
+
+
+@query(_filtered_sql(">="))
+def line_filter(spark, sf_dir):
+    return _line_filter(spark, sf_dir, False)
+
+
+@query(_filtered_sql(">"))
+def line_filter_strict(spark, sf_dir):
+    return _line_filter(spark, sf_dir, True)
+
+
+@query(f"WITH {_LINES}, n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS k FROM e) SELECT doc_id, line_no, k % 3 = 1 AS is_global FROM n")
+def every_n_line(spark, sf_dir):
+    return lines.every_nth_separator(lines.explode_lines(_docs(spark, sf_dir)), 3).select("doc_id", "line_no", "is_global")
+
+
+_TOKENS = r"len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))"
+
+
+@query(f"SELECT doc_id, {_TOKENS}::BIGINT AS n FROM documents")
+def token_length(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", tx.token_length(F.col("text")).alias("n"))
+
+
+@query(f"WITH t AS (SELECT doc_id, {_TOKENS}::BIGINT AS token_length FROM documents) SELECT doc_id, token_length FROM t")
+def token_length_order(spark, sf_dir):
+    return batching.by_token_length(_docs(spark, sf_dir).select("doc_id", "text"), "doc_id", tx.token_length(F.col("text"))).select("doc_id", "token_length")
+
+
+@query(
+    f"""WITH t AS (SELECT doc_id, {_TOKENS} AS n FROM documents), w AS (SELECT doc_id, n, unnest(range(0, n, CASE WHEN n > 600 THEN 88 ELSE 600 END)) AS s FROM t)
+    SELECT doc_id, s::BIGINT AS token_start, least(600, n - s)::BIGINT AS window_length FROM w"""
+)
+def token_windows(spark, sf_dir):
+    return lines.token_windows(_docs(spark, sf_dir), tx.token_length(F.col("text")), 600)
+
+
+@query()
+def window_stitch(spark, sf_dir):
+    s = lines.stitched_scores(F.col("text"), 600)
+    return _spread(_docs(spark, sf_dir)).select("doc_id", F.size(s).alias("n_scores"))
+
+
+# ---- images and markup -----------------------------------------------------------------------------------------
+
+_WITH_IMAGE = "substr(text, 1, 5) || '![a](http://i/' || doc_id || ')' || substr(text, 6)"
+
+
+def _imaged() -> F.Column:
+    image = F.concat(F.lit("![a](http://i/"), F.col("doc_id").cast("string"), F.lit(")"))
+    return F.concat(F.substring("text", 1, 5), image, F.substring(F.col("text"), F.lit(6), F.length("text")))
+
+
+@query(rf"SELECT doc_id, regexp_replace({_WITH_IMAGE}, '!\[(.*?)\]\((.*?)\)', '', 'g') AS text FROM documents")
+def image_strip(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", tx.strip_images(_imaged()).alias("text"))
+
+
+@query(rf"SELECT doc_id, array_to_string(regexp_extract_all({_WITH_IMAGE}, '!\[(.*?)\]\((.*?)\)', 2), ',') AS urls FROM documents")
+def image_urls(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.array_join(tx.image_urls(_imaged()), ",").alias("urls"))
+
+
+@query("SELECT doc_id, substr(text, 1, 5) || '![](http://i/' || doc_id || ')' || substr(text, 6) AS text FROM documents")
+def image_roundtrip(spark, sf_dir):
+    d = _spread(_docs(spark, sf_dir)).select("doc_id", _imaged().alias("m"))
+    d = d.select("doc_id", tx.strip_images(F.col("m")).alias("t"), lines.image_places(F.col("m")).alias("places"))
+    return d.select("doc_id", lines.with_images(F.col("t"), F.col("places")).alias("text"))
+
+
+@query()
+def fix_text(spark, sf_dir):
+    return _spread(_docs(spark, sf_dir)).select("doc_id", markup.fix_text("text").alias("text"))
+
+
+@query("SELECT page_id, html AS text FROM pages")
+def decode_html(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", markup.decode_html(F.encode("html", "utf-8")).alias("text"))
+
+
+@query()
+def html_to_markdown(spark, sf_dir):
+    return _spread(_pages(spark, sf_dir)).select("page_id", markup.html_to_markdown("html").alias("markdown"))
+
+
+@query(r"SELECT page_id, regexp_replace(html, '(?is)<script\b[^>]*>.*?</script\s*>', '', 'g') AS html FROM pages")
+def html_strip_script(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", markup.strip_scripts(F.col("html")).alias("html"))
+
+
+@query(r"SELECT page_id, regexp_replace(html, '(?is)<a\b[^>]*>(.*?)</a\s*>', '\1', 'g') AS html FROM pages")
+def link_to_text(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", markup.links_to_text(F.col("html")).alias("html"))
+
+
+# ---- model data ------------------------------------------------------------------------------------------------
+
+_LOGIT = "(quality * 2.0 - toxic * 1.5 + (doc_id % 7) / 10.0 - 1.0)::DOUBLE"
+
+
+def _logits(spark, sf_dir) -> DataFrame:
+    x = (F.col("quality") * 2.0 - F.col("toxic") * 1.5 + (F.col("doc_id") % 7) / F.lit(10.0) - 1.0).cast("double")
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", x.alias("x"))
+
+
+_BCE = "greatest(x, 0.0) - x * quality + ln(1.0 + exp(-abs(x)))"
+
+
+@query(f"SELECT doc_id, round(1.0 / (1.0 + exp(-{_LOGIT})), 6) AS p FROM labels")
+def sigmoid(spark, sf_dir):
+    return _logits(spark, sf_dir).select("doc_id", F.round(tx.sigmoid(F.col("x")), 6).alias("p"))
+
+
+@query(f"WITH l AS (SELECT doc_id, quality, {_LOGIT} AS x FROM labels) SELECT doc_id, round({_BCE}, 6) AS loss FROM l")
+def line_bce(spark, sf_dir):
+    return _logits(spark, sf_dir).select("doc_id", F.round(lines.bce_with_logits(F.col("x"), F.col("quality").cast("double")), 6).alias("loss"))
+
+
+@query(f"WITH l AS (SELECT doc_id % 50 AS g, quality, {_LOGIT} AS x FROM labels), m AS (SELECT g, avg({_BCE}) AS b FROM l GROUP BY g) SELECT round(avg(b), 6) AS loss FROM m")
+def bce_loss(spark, sf_dir):
+    rows = _logits(spark, sf_dir).withColumn("g", F.col("doc_id") % 50)
+    return lines.mean_bce(rows, "g", "x", "quality").select(F.round("loss", 6).alias("loss"))
+
+
+@query(
+    f"""WITH l AS (SELECT quality, 1.0 / (1.0 + exp(-{_LOGIT})) > 0.5 AS p FROM labels),
+    c AS (SELECT count(*) FILTER (p AND quality > 0)::DOUBLE AS tp, count(*) FILTER (p AND quality <= 0) AS fp, count(*) FILTER (NOT p AND quality > 0) AS fn, count(*) AS n FROM l)
+    SELECT round((n - fp - fn) / n, 6) AS accuracy, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM c"""
+)
+def line_metrics(spark, sf_dir):
+    m = lines.binary_metrics(_logits(spark, sf_dir), tx.sigmoid(F.col("x")), F.col("quality"))
+    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
+
+
+_SELECTED = "[(doc_id % 3)::INTEGER, (doc_id % 5 + 3)::INTEGER]"
+
+
+def _annotations(spark, sf_dir) -> DataFrame:
+    i = F.col("doc_id")
+    return _docs(spark, sf_dir).select(
+        i, F.concat(F.lit("u"), i.cast("string")).alias("url"), F.col("text").alias("content"),
+        F.array((i % 3).cast("int"), (i % 5 + 3).cast("int")).alias("selected_lines"),
+        F.when(i % 4 == 0, True).when(i % 4 == 1, False).alias("is_ignored"),
+        F.array(*[((i % (k + 2)) / F.lit(float(k + 2))) for k in range(4)]).alias("line_predictions"),
+    )
+
+
+@query(
+    f"""WITH s AS (SELECT doc_id, {_SELECTED} AS s, length(text) - length(replace(text, chr(10), '')) + 1 AS n FROM documents)
+    SELECT doc_id, array_to_string(list_transform(range(0, n), lambda i: CASE WHEN list_contains(s, i) THEN '1' ELSE '0' END), '') AS labels FROM s"""
+)
+def line_labels(spark, sf_dir):
+    a = _annotations(spark, sf_dir).withColumn("n", F.size(F.split("content", "\n")))
+    return a.select("doc_id", F.array_join(F.transform(lines.line_labels(F.col("selected_lines"), F.col("n")), lambda x: x.cast("string")), "").alias("labels"))
+
+
+@query(
+    f"""WITH s AS (SELECT doc_id, {_SELECTED} AS s, length(text) - length(replace(text, chr(10), '')) + 1 AS n FROM documents)
+    SELECT doc_id, array_to_string(list_filter(s, lambda x: x < n), ',') AS selected FROM s"""
+)
+def label_truncate(spark, sf_dir):
+    a = _annotations(spark, sf_dir)
+    kept = lines.truncate_labels(F.col("selected_lines"), F.size(F.split("content", "\n")))
+    return a.select("doc_id", F.array_join(F.transform(kept, lambda x: x.cast("string")), ",").alias("selected"))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 4 <> 0")
+def annotated_keep(spark, sf_dir):
+    return annotate.kept(_annotations(spark, sf_dir)).select("doc_id")
+
+
+_PREDICTED = ", ".join(f"(doc_id % {k + 2}) / {k + 2}.0::DOUBLE" for k in range(4))
+
+
+@query(
+    f"""WITH a AS (SELECT doc_id, string_split(text, chr(10)) AS a, {_SELECTED} AS s, [{_PREDICTED}] AS p FROM documents),
+    l AS (SELECT doc_id, generate_subscripts(a, 1) - 1 AS i, unnest(a) AS line, len(a) AS n, s, p FROM a)
+    SELECT doc_id, i::INTEGER AS line_no, line, list_contains(s, i) AS selected, round(p[i + 1], 6) AS score, coalesce(p[i + 1] >= 0.5, false) AS shown FROM l WHERE i < n - 1"""
+)
+def annotation_view(spark, sf_dir):
+    v = annotate.view(_annotations(spark, sf_dir), "doc_id", "output")
+    return v.withColumn("score", F.round("score", 6))
+
+
+@query(
+    f"""WITH s AS (SELECT doc_id, {_SELECTED} AS s, (doc_id % 4)::INTEGER AS a, (doc_id % 7)::INTEGER AS b FROM documents)
+    SELECT doc_id, array_to_string(list_sort(list_distinct(list_concat(s, range(least(a, b), greatest(a, b) + 1)))), ',') AS added,
+      array_to_string(list_sort(list_distinct(list_filter(s, lambda x: x < least(a, b) OR x > greatest(a, b)))), ',') AS taken FROM s"""
+)
+def annotation_select(spark, sf_dir):
+    a, b = (F.col("doc_id") % 4).cast("int"), (F.col("doc_id") % 7).cast("int")
+    show = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    s = F.col("selected_lines")
+    return _annotations(spark, sf_dir).select("doc_id", show(annotate.drag_selected(s, a, b, True)).alias("added"), show(annotate.drag_selected(s, a, b, False)).alias("taken"))
+
+
+@query(f"WITH l AS (SELECT doc_id, quality AS y, 1.0 / (1.0 + exp(-{_LOGIT})) AS p FROM labels), m AS (SELECT doc_id, -(y * ln(p + 1e-5) + (1 - y) * ln(1 - p + 1e-5)) AS l FROM l) SELECT doc_id, round(l, 6) AS loss, round(1 - least(greatest(l, 0.0), 2.0) / 2, 6) AS intensity FROM m")
+def annotation_loss(spark, sf_dir):
+    loss = annotate.line_loss(tx.sigmoid(F.col("x")), F.col("quality"))
+    return _logits(spark, sf_dir).select("doc_id", F.round(loss, 6).alias("loss"), F.round(annotate.loss_intensity(loss), 6).alias("intensity"))
+
+
+@query("SELECT 'u' || doc_id AS url, CASE WHEN doc_id % 10 = 0 THEN 'changed' ELSE text END AS content FROM documents")
+def annotation_upsert(spark, sf_dir):
+    a = _annotations(spark, sf_dir)
+    return annotate.upserted(a, a.filter("doc_id % 10 = 0").withColumn("content", F.lit("changed"))).select("url", "content")
+
+
+# ---- after the published description of the mining stage -------------------------------------------------------
+
+
+@query()
+def perplexity_bucket(spark, sf_dir):
+    """Mean unigram surprisal of a text's words, and its third of the corpus: head, middle or tail."""
+    counts = features.word_counts(_docs(spark, sf_dir))
+    words = counts.groupBy("word").agg(F.sum("n").alias("c"))
+    total = words.agg(F.sum("c").alias("t"))
+    surprisal = counts.join(words, "word").join(F.broadcast(total), F.lit(True))
+    per = surprisal.groupBy("doc_id").agg((F.sum(F.col("n") * -F.ln(F.col("c") / F.col("t"))) / F.sum("n")).alias("surprisal"))
+    cut = per.agg(F.percentile_approx("surprisal", [1 / 3, 2 / 3], 10_000).alias("q"))
+    placed = per.join(F.broadcast(cut), F.lit(True))
+    bucket = F.when(F.col("surprisal") <= F.col("q")[0], "head").when(F.col("surprisal") <= F.col("q")[1], "middle").otherwise("tail")
+    return placed.select("doc_id", F.round("surprisal", 6).alias("surprisal"), bucket.alias("bucket"))
