@@ -146,19 +146,11 @@ def repetition_measures(
 
 
 def quality_filter(docs: DataFrame, text: str = "text", rules: RepetitionRules | None = None) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
-    names = docs.columns
-    measured = repetition_measures(docs, text, tuple(dict.fromkeys(names)), rules)
-    return measured.filter(F.col("kept")).select(*names) if not set(names) & MEASURES else _kept_by_position(docs, text, rules)
-
-
-MEASURES = {part.split()[0] for part in SCHEMA.split(", ")}
+    """The rows of ``docs`` that the rules keep, with all their columns as they are."""
+    rules = rules or RepetitionRules()
 
+    def run(batches):
+        for part, buf, off in tk.balanced(batches, text, 1 << 21):
+            yield part.filter(pa.array(measure(buf, off, rules)["kept"]))
 
-def _kept_by_position(docs: DataFrame, text: str, rules: RepetitionRules | None) -> DataFrame:
-    """As quality_filter, for tables that already have columns named like the measures."""
-    names = docs.columns
-    spare = {c: f"__c{i}" for i, c in enumerate(names)}
-    renamed = docs.select(*[F.col(f"`{c}`").alias(s) for c, s in spare.items()])
-    out = repetition_measures(renamed, spare[text], tuple(spare.values()), rules).filter(F.col("kept"))
-    return out.select(*[F.col(s).alias(c) for c, s in spare.items()])
+    return docs.mapInArrow(run, docs.schema)
