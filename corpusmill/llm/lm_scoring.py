@@ -45,7 +45,7 @@ def grams_of(tokens: np.ndarray, first: np.ndarray, order: int, coarse: np.uint6
     """For each order, the hash of the n-gram that ends at each position; 0 where a row is too short so far.
 
     Unigrams keep all bits. Longer n-grams drop the bits in ``coarse``, which shortens messages and makes two of them
-    share counts by chance once in 65,536 or less.
+    share counts by chance once in 4,096 or less.
     """
     place = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
     out, run = [tokens], tokens
@@ -168,8 +168,8 @@ def score_documents(
     as empty: one end token. Repeated rows count as often as they stand. An empty table gives no rows, and without
     training texts every token has the floor's probability. Other columns are ignored.
     """
-    layout = ex.layout_of(docs, text, order / 6, 34, block_bytes=4 << 20)
-    coarse = np.uint64((1 << max(0, 64 - (layout.bits - 34 + 16))) - 1)
+    layout = ex.layout_of(docs, text, order / 6, 34, block_bytes=6 << 20)
+    coarse = np.uint64((1 << max(0, 64 - (layout.bits - 34 + 12))) - 1)
     total, vocabulary = _vocabulary(docs, ident, text, folds, fold, max(1, layout.shards // 2))
     kind = docs.schema[ident].dataType.simpleString()
 
