@@ -239,16 +239,14 @@ PLAIN = {
 CONTROL = {c: None for c in [*range(0, 9), 11, *range(14, 32), 127, 0xFEFF]}
 
 
-def _unmangled(text: str) -> str:
-    """UTF-8 that was once read as cp1252 or latin-1, read right; other text as it is."""
-    if not re.search("[Â-ô][\u0080-¿Œ-™]", text):
-        return text
+def _unmangled(run: re.Match) -> str:
+    """A run of UTF-8 that was once read as cp1252 or latin-1, read right; other runs as they are."""
     for name in ("cp1252", "latin-1"):
         try:
-            return text.encode(name).decode("utf-8")
+            return run[0].encode(name).decode("utf-8")
         except (UnicodeEncodeError, UnicodeDecodeError):
             continue
-    return text
+    return run[0]
 
 
 def fixed_text(text: str | None) -> str | None:
@@ -257,7 +255,7 @@ def fixed_text(text: str | None) -> str | None:
         return None
     if "<" not in text:
         text = html.unescape(text)
-    text = "\n".join(_unmangled(x) for x in text.split("\n"))
+    text = re.sub("[\u0080-\u00ff\u0152-\u2122]{2,}", _unmangled, text)
     text = text.replace("\r\n", "\n").replace("\r", "\n").replace(" ", "\n").replace(" ", "\n").replace("\x85", "\n")
     for k, v in PLAIN.items():
         text = text.replace(k, v)
