@@ -204,7 +204,7 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Run]:
     return [(f, n) for group in groups.values() for f, n in group]
 
 
-def fillings(counts: dict[int, int], sizes: list[int], room: int, most: int = 24, steps: int = 4000) -> list[tuple[int, ...]]:
+def fillings(counts: dict[int, int], sizes: list[int], room: int, most: int = 16, steps: int = 1000) -> list[tuple[int, ...]]:
     """Undominated ways to fill ``room``, least waste first.
 
     A filling is dominated if one of its pieces, or two of them together, can give way to one larger piece that is
@@ -253,7 +253,7 @@ def fillings(counts: dict[int, int], sizes: list[int], room: int, most: int = 24
     return [pick for _, pick in sorted(found, key=lambda f: (f[0], len(f[1])))]
 
 
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 6000) -> list[Run]:
+def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 1500) -> list[Run]:
     """Runs that place every piece; best-fit is the incumbent and branch and bound tries to beat it.
 
     A node completes the bin of the largest piece left with an undominated filling, as many times as the counts allow.

@@ -77,7 +77,14 @@ def test_ngram_join_near_group(spark):
     assert ngram_join.similar_sets(simple(spark, texts).limit(0)).count() == 0
 
 
-def test_line_dedup(spark):
+@pytest.fixture
+def small_table(monkeypatch):
+    """A rarity table of 4096 cells: quicker to build, and words share cells."""
+    monkeypatch.setattr(line_dedup, "CELLS", 12)
+    monkeypatch.setattr(line_dedup, "SEGMENT", 6)
+
+
+def test_line_dedup(spark, small_table):
     r = random.Random(6)
     v = [f"w{i}" for i in range(60)]
     base = [" ".join(r.sample(v, 12)) for _ in range(12)]
@@ -236,7 +243,7 @@ def test_url_filters(spark):
     assert url_filters.judge_urls(df.limit(0)).count() == 0
 
 
-def test_pipeline(spark):
+def test_pipeline(spark, small_table):
     docs = frame(spark)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_jaccard_join", "decontamination", "best_fit_packing"]
     for name, stage in corpus_pipeline.STAGES[:-1]:

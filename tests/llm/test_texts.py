@@ -71,7 +71,7 @@ def test_plans_place_everything():
     for _ in range(40):
         counts = dict(Counter(r.choices(range(1, 2049), k=r.randint(1, 200))))
         bound = packing.lower_bound(counts, 2048)
-        fit, done = packing.best_fit(counts, 2048), packing.bin_completion(counts, 2048, 300)
+        fit, done = packing.best_fit(counts, 2048), packing.bin_completion(counts, 2048, 40)
         for runs in (fit, done):
             placed = Counter()
             for filling, n in runs:
