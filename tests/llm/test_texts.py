@@ -46,7 +46,8 @@ def test_words_and_spans(monkeypatch):
 @pytest.mark.parametrize("cls,name", [(token_counts.UnitLengths, "word_bpe_49k.json"), (packing.UnitIds, "byte_bpe_50k.json")])
 def test_units_give_the_librarys_tokens(cls, name):
     texts = nasty_texts() + [r[1] or "" for r in messy_rows()]
-    want = [library(name).encode(t, add_special_tokens=False).ids for t in texts]
+    lib = library(name)
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
     buf, off = tk.buffer_of(pa.array(texts))
     mine = cls(public_tokenizers.path(name))
     for _ in range(2):  # the second time from the memo
