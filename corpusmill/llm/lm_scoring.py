@@ -161,15 +161,17 @@ def score_documents(
     folds: int = 5,
     fold: int = 1,
     mass: tuple[float, ...] = MASS,
+    spare_bits: int = 12,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     Training texts are those whose crc32(id as text) mod ``folds`` is not ``fold``; a null id trains. Null texts count
     as empty: one end token. Repeated rows count as often as they stand. An empty table gives no rows, and without
-    training texts every token has the floor's probability. Other columns are ignored.
+    training texts every token has the floor's probability. Other columns are ignored. An n-gram of two or more tokens
+    shares its count with another one by chance once in 2 ** ``spare_bits``; token counts are exact.
     """
     layout = ex.layout_of(docs, text, order / 6, 34, block_bytes=6 << 20)
-    coarse = np.uint64((1 << max(0, 64 - (layout.bits - 34 + 12))) - 1)
+    coarse = np.uint64((1 << max(0, 64 - (layout.bits - 34 + spare_bits))) - 1)
     total, vocabulary = _vocabulary(docs, ident, text, folds, fold, max(1, layout.shards // 2))
     kind = docs.schema[ident].dataType.simpleString()
 
