@@ -69,7 +69,8 @@ BLOCK_BYTES, LEAST_BLOCK, SHARD_KEYS = 8 << 20, 1 << 18, 1 << 20
 def layout_of(docs: DataFrame, text: str, keys_per_byte: float, spare_bits: int, block_bytes: int = BLOCK_BYTES) -> Layout:
     """One scan for the corpus size; blocks of about ``block_bytes`` of text at most and shards of about a million keys.
 
-    Keys keep log2(number of keys) + ``spare_bits`` bits, so a key is shared by chance once in 2**spare_bits.
+    Keys keep log2(number of keys) + ``spare_bits`` bits, so a key is shared by chance once in 2**spare_bits; they have
+    64 bits, the whole hash, at most.
     """
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     tasks = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

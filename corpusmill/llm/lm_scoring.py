@@ -41,12 +41,8 @@ def tokens_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out, first
 
 
-def grams_of(tokens: np.ndarray, first: np.ndarray, order: int, coarse: np.uint64) -> list[np.ndarray]:
-    """For each order, the hash of the n-gram that ends at each position; 0 where a row is too short so far.
-
-    Unigrams keep all bits. Longer n-grams drop the bits in ``coarse``, which shortens messages and makes two of them
-    share counts by chance once in 4,096 or less.
-    """
+def grams_of(tokens: np.ndarray, first: np.ndarray, order: int) -> list[np.ndarray]:
+    """For each order, the 64-bit hash of the n-gram that ends at each position; 0 where a row is too short so far."""
     place = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
     out, run = [tokens], tokens
     for k in range(1, order):
@@ -55,7 +51,7 @@ def grams_of(tokens: np.ndarray, first: np.ndarray, order: int, coarse: np.uint6
         longer *= tk.MIX2
         longer += tokens
         run = longer
-        h = tk.mix(run ^ SALT[k]) & ~coarse
+        h = tk.mix(run ^ SALT[k])
         h[place < k] = 0
         out.append(h)
     return out
@@ -161,24 +157,23 @@ def score_documents(
     folds: int = 5,
     fold: int = 1,
     mass: tuple[float, ...] = MASS,
-    spare_bits: int = 12,
+    spare_bits: int = 64,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     Training texts are those whose crc32(id as text) mod ``folds`` is not ``fold``; a null id trains. Null texts count
     as empty: one end token. Repeated rows count as often as they stand. An empty table gives no rows, and without
-    training texts every token has the floor's probability. Other columns are ignored. An n-gram of two or more tokens
-    shares its count with another one by chance once in 2 ** ``spare_bits``; token counts are exact.
+    training texts every token has the floor's probability. Other columns are ignored. Counts are those of 64-bit hashes,
+    whatever the corpus size; fewer ``spare_bits`` shorten the keys to log2(number of keys) + ``spare_bits`` bits.
     """
-    layout = ex.layout_of(docs, text, order / 6, 34, block_bytes=6 << 20)
-    coarse = np.uint64((1 << max(0, 64 - (layout.bits - 34 + spare_bits))) - 1)
+    layout = ex.layout_of(docs, text, order / 6, spare_bits, block_bytes=6 << 20)
     total, vocabulary = _vocabulary(docs, ident, text, folds, fold, max(1, layout.shards // 2))
     kind = docs.schema[ident].dataType.simpleString()
 
     def grams(table):
         buf, off = tk.buffer_of(table.column("__text"))
         tokens, first = tokens_of(buf, off)
-        return [layout.keys(g) for g in grams_of(tokens, first, order, coarse)], first
+        return [layout.keys(g) for g in grams_of(tokens, first, order)], first
 
     def keys_of(table):
         each, first = grams(table)

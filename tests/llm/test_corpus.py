@@ -163,6 +163,16 @@ def test_lm_scores(spark):
     assert lm_scoring.score_documents(frame(spark, [])).count() == 0
 
 
+def test_lm_counts_are_not_shared(spark):
+    """As many n-grams as make short keys meet: every score is that of separate counts."""
+    r = random.Random(3)
+    rows = [(i, " ".join(f"w{r.randrange(30000)}" for _ in range(2000))) for i in range(40)]
+    rows += [(100 + i, t) for i, t in rows[:20]]
+    got = {x["doc_id"]: tuple(x) for x in lm_scoring.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for w in lm_by_hand(rows):
+        assert got[w[0]][:5] == w[:5] and got[w[0]][5:] == pytest.approx(w[5:], abs=1e-6)
+
+
 def test_lm_is_a_distribution():
     """Probabilities of all words and one unknown word after any state add up to one."""
     tokens = np.array([1, 2, 1, 3], dtype=np.uint64)
