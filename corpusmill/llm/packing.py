@@ -204,11 +204,12 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Run]:
     return [(f, n) for group in groups.values() for f, n in group]
 
 
-def fillings(counts: dict[int, int], sizes: list[int], room: int, most: int = 16, steps: int = 1000) -> list[tuple[int, ...]]:
+def fillings(counts: dict[int, int], sizes: list[int], room: int, most: int = 24, steps: int = 4000) -> list[tuple[int, ...]]:
     """Undominated ways to fill ``room``, least waste first.
 
     A filling is dominated if one of its pieces, or two of them together, can give way to one larger piece that is
-    still to be placed and fits; the bound on waste drops branches that cannot beat those already found.
+    still to be placed and fits; the bound on waste drops branches that cannot beat those already found. At most
+    ``most`` fillings are found in ``steps`` steps, each of which goes on with the six largest sizes that fit.
     """
     found: list[tuple[int, tuple[int, ...]]] = []
     spent = 0
@@ -253,14 +254,16 @@ def fillings(counts: dict[int, int], sizes: list[int], room: int, most: int = 16
     return [pick for _, pick in sorted(found, key=lambda f: (f[0], len(f[1])))]
 
 
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 1500) -> list[Run]:
+def bin_completion(counts: dict[int, int], capacity: int, nodes: int | None = None) -> list[Run]:
     """Runs that place every piece; best-fit is the incumbent and branch and bound tries to beat it.
 
     A node completes the bin of the largest piece left with an undominated filling, as many times as the counts allow.
     A branch ends when its waste exceeds what a solution with fewer bins could afford. ``nodes`` bounds the search
-    (not the input); when it is spent, or the lower bound is met, the incumbent stands.
+    (not the input); when it is spent, or the lower bound is met, the incumbent stands. A first full solution takes
+    about a node for each distinct length, so by default there are four times as many, and 6000 at least.
     """
     counts = {s: c for s, c in counts.items() if c}
+    nodes = max(6000, 4 * len(counts)) if nodes is None else nodes
     best = best_fit(counts, capacity)
     n_best, bound = sum(n for _, n in best), lower_bound(counts, capacity)
     volume = sum(s * c for s, c in counts.items())

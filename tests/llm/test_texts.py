@@ -86,6 +86,20 @@ def test_plans_place_everything():
     assert packing.bin_completion({}, 2048) == []
 
 
+def test_search_goes_beyond_best_fit_with_many_lengths():
+    """Some 2,000 distinct lengths: the search places all of them by default, and meets the lower bound."""
+    r = random.Random(0)
+    counts = dict(Counter(min(2048, 1 + int(r.lognormvariate(5.8, 1.0))) for _ in range(100_000)))
+    runs = packing.bin_completion(counts, 2048)
+    placed = Counter()
+    for filling, n in runs:
+        assert sum(filling) <= 2048
+        for x in filling:
+            placed[x] += n
+    assert len(counts) > 2000 and placed == counts
+    assert sum(n for _, n in runs) == packing.lower_bound(counts, 2048) < sum(n for _, n in packing.best_fit(counts, 2048))
+
+
 def test_packing_round_trip(spark):
     t = library("byte_bpe_50k.json")
     got = packing.pack_documents(frame(spark), public_tokenizers.path("byte_bpe_50k.json")).collect()
