@@ -100,19 +100,18 @@ class UnitIds:
         end = np.append(start[1:], len(buf))
         keys, where, inverse = np.unique(tk.span_hash(buf, start, end), return_index=True, return_inverse=True)
         got = self.memo.get(keys)
+        at, size = got >> 24, got & 0xFFFFFF
         new = np.flatnonzero(got < 0)
         if len(new):
-            ids, size = self.encode(texts_of(buf, start[where[new]], end[where[new]]))
+            ids, n = self.encode(texts_of(buf, start[where[new]], end[where[new]]))
             while self.used + len(ids) > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
             self.pool[self.used : self.used + len(ids)] = ids
-            begin = self.used + np.cumsum(size) - size
+            at[new], size[new] = self.used + np.cumsum(n) - n, n
             self.used += len(ids)
-            got[new] = (begin << 24) | size  # a unit is far shorter than 2**24 tokens or not remembered
-            if (size >= 1 << 24).any():
-                raise ValueError("a run without blanks of over 16 million tokens")
-            self.memo.put(keys[new], got[new])
-        at, size = (got >> 24)[inverse], (got & 0xFFFFFF)[inverse]
+            short = new[n < 1 << 24]  # a longer unit does not fit the packed form and is not remembered
+            self.memo.put(keys[short], (at[short] << 24) | size[short])
+        at, size = at[inverse], size[inverse]
         stop = np.cumsum(size)
         take = np.arange(stop[-1] if len(stop) else 0) + np.repeat(at - (stop - size), size)
         first = np.concatenate([[0], stop])[np.searchsorted(start, off)]

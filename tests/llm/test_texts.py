@@ -58,6 +58,25 @@ def test_units_give_the_librarys_tokens(cls, name):
             assert mine.count(buf, off).tolist() == list(map(len, want))
 
 
+def test_a_unit_of_any_length_has_its_ids(monkeypatch):
+    """A unit of over 2**24 tokens among others, of which the next call remembers the short ones."""
+    units = packing.UnitIds(public_tokenizers.path("byte_bpe_50k.json"))
+    asked, size = [], {"short": 2, " long": (1 << 24) + 3, " end": 1}
+
+    def encode(texts):
+        asked.append(sorted(texts))
+        return np.concatenate([np.arange(size[t], dtype=np.uint32) for t in texts]), np.array([size[t] for t in texts])
+
+    monkeypatch.setattr(units, "encode", encode)
+    buf, off = tk.buffer_of(pa.array(["short long end", "", "short"]))
+    want = np.concatenate([np.arange(size[t], dtype=np.uint32) for t in ("short", " long", " end", "short")])
+    ids, first = units.ids(buf, off)
+    n = (1 << 24) + 6
+    assert first.tolist() == [0, n, n, n + 2] and np.array_equal(ids, want)
+    monkeypatch.setattr(units, "POOL_LIMIT", 1 << 40)
+    assert np.array_equal(units.ids(buf, off)[0], want) and asked[1] == [" long"]
+
+
 def test_token_counts(spark):
     t = library("word_bpe_49k.json")
     rows = token_counts.token_counts(frame(spark), public_tokenizers.path("word_bpe_49k.json")).collect()
