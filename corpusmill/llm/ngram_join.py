@@ -145,7 +145,8 @@ def similar_sets(
     Sets are distinct ``width``-word shingles of the A-Z-lowered text (fewer words: the whole sequence). The component
     is the smallest id reachable by links. Null, empty and wordless texts have no shingle and are linked with nothing.
     Rows that repeat an id are rows of their own; a row with a null id takes part, and a component with no other id
-    has a null one. An empty table gives no rows; other columns are ignored.
+    has a null one. An empty table gives no rows; other columns are ignored. Links within a component are neither
+    listed nor counted: what is joined already is not compared again.
     """
     rows = materialise(_prefixes(docs, ident, text, width, percent), "sets")
     nodes = rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
