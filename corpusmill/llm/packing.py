@@ -12,6 +12,9 @@ import bisect
 import json
 import os
 import zlib
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +26,8 @@ from .storage import materialise
 from .token_counts import Memo, texts_of
 
 CAPACITY = 2048
+#: Bound on the search, some ten seconds of the driver; best-fit completes a dive at about so many places.
+SEARCH_STEPS, COMPLETIONS = 3_000_000, 8
 Run = tuple[tuple[int, ...], int]
 
 
@@ -203,109 +208,169 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Run]:
     return [(f, n) for group in groups.values() for f, n in group]
 
 
-def fillings(counts: dict[int, int], sizes: list[int], room: int, most: int = 24, steps: int = 4000) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``room``, least waste first.
+class Spent(Exception):
+    """The search has used up its steps."""
 
-    A filling is dominated if one of its pieces, or two of them together, can give way to one larger piece that is
-    still to be placed and fits; the bound on waste drops branches that cannot beat those already found. At most
-    ``most`` fillings are found in ``steps`` steps, each of which goes on with the six largest sizes that fit.
+
+class Steps:
+    """What is left of the bound on a search."""
+
+    def __init__(self, n: int):
+        self.left = n
+
+    def take(self, n: int = 1) -> None:
+        self.left -= n
+        if self.left < 0:
+            raise Spent
+
+
+def fillings(counts: dict[int, int], sizes: list[int], room: int, most_waste: int, steps: Steps) -> Iterator[tuple[int, tuple[int, ...]]]:
+    """(waste, filling) of every undominated way to fill ``room``, least waste first and larger pieces before smaller.
+
+    Sums that the sizes up to each one reach are bit sets, so the walk never enters a branch without a filling. A
+    filling is dominated if one of its pieces, two of them together, or its waste can give way to one larger piece that
+    is still to be placed.
     """
-    found: list[tuple[int, tuple[int, ...]]] = []
-    spent = 0
-
-    def dominated(pick: tuple[int, ...], slack: int) -> bool:
-        for x in set(pick):
-            at = bisect.bisect_right(sizes, x + slack) - 1
-            while at >= 0 and sizes[at] > x:
-                if counts[sizes[at]] > pick.count(sizes[at]):
-                    return True
-                at -= 1
-        for i, x in enumerate(pick):
-            for y in pick[i + 1 :]:
-                at = bisect.bisect_right(sizes, x + y + slack) - 1
-                if at >= 0 and sizes[at] >= x + y and counts[sizes[at]] > pick.count(sizes[at]):
-                    return True
+    usable = sizes[: bisect.bisect_right(sizes, room)]
+    limit = [counts[s] for s in usable]
+    spare = dict(zip(usable, limit, strict=True))
+    mask = (1 << (room + 1)) - 1
+    reach, sums = [], 1
+    for s, n in zip(usable, limit, strict=True):
+        if sums != mask:
+            n, k = min(n, room // s), 1
+            while n > 0:
+                sums |= sums << (min(k, n) * s)
+                n, k = n - k, 2 * k
+            sums &= mask
+        reach.append(sums)
+    steps.take(1 + len(usable) // 8)
+
+    def free_up_to(low: int, high: int, used: Counter) -> bool:
+        """Whether a piece of ``low`` to ``high`` is left beside those used."""
+        at = bisect.bisect_left(usable, low)
+        while at < len(usable) and usable[at] <= high:
+            if spare[usable[at]] > used[usable[at]]:
+                return True
+            at += 1
         return False
 
-    def grow(pick: tuple[int, ...], slack: int, top: int) -> None:
-        nonlocal spent
-        spent += 1
-        if spent > steps or len(found) >= most:
-            return
-        at = min(bisect.bisect_right(sizes, slack) - 1, top)
-        if at < 0:
-            if not dominated(pick, slack):
-                found.append((slack, pick))
-            return
-        tried = 0
-        while at >= 0 and tried < 6:
-            x = sizes[at]
-            if counts[x] > pick.count(x):
-                tried += 1
-                grow((*pick, x), slack - x, at)
-                if found and found[-1][0] == 0 and len(found) >= most // 2:
-                    return
+    def dominated(used: Counter, waste: int) -> bool:
+        each = sorted(used)
+        if any(free_up_to(x + 1, x + waste, used) for x in [0, *each]):
+            return True
+        pairs = {x + y for i, x in enumerate(each) for y in each[i:] if x != y or used[x] > 1}
+        return any(free_up_to(p, p + waste, used) for p in pairs)
+
+    def exact(at: int, rest: int) -> Iterator[tuple[int, ...]]:
+        at = min(at, bisect.bisect_right(usable, rest) - 1)
+        while at >= 0 and reach[at] >> rest & 1:
+            s, below = usable[at], reach[at - 1] if at else 1
+            for n in range(min(limit[at], rest // s), 0, -1):
+                steps.take()
+                if below >> (rest - n * s) & 1:
+                    if rest == n * s:
+                        yield (s,) * n
+                    else:
+                        for more in exact(at - 1, rest - n * s):
+                            yield (s,) * n + more
             at -= 1
-        if not tried and not dominated(pick, slack):
-            found.append((slack, pick))
+            steps.take()
+
+    for waste in range(min(room, most_waste) + 1):
+        if waste == room:
+            if not usable:
+                yield waste, ()
+        elif sums >> (room - waste) & 1:
+            for pick in exact(len(usable) - 1, room - waste):
+                if not dominated(Counter(pick), waste):
+                    yield waste, pick
+
+
+@dataclass
+class Plan:
+    """``runs`` place every piece in ``bins`` bins; no plan needs fewer than ``bound``, nor than ``bins`` if ``proved``."""
 
-    grow((), room, len(sizes) - 1)
-    return [pick for _, pick in sorted(found, key=lambda f: (f[0], len(f[1])))]
+    runs: list[Run]
+    bins: int
+    bound: int
+    proved: bool
 
 
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int | None = None) -> list[Run]:
-    """Runs that place every piece; best-fit is the incumbent and branch and bound tries to beat it.
+def bin_completion(counts: dict[int, int], capacity: int, steps: int = SEARCH_STEPS) -> Plan:
+    """Branch and bound by bin completion: best-fit is the first incumbent.
 
-    A node completes the bin of the largest piece left with an undominated filling, as many times as the counts allow.
-    A branch ends when its waste exceeds what a solution with fewer bins could afford. ``nodes`` bounds the search
-    (not the input); when it is spent, or the lower bound is met, the incumbent stands. A first full solution takes
-    about a node for each distinct length, so by default there are four times as many, and 6000 at least.
+    A node completes the bin of the largest piece left with each undominated filling in turn, as many times as the
+    counts allow and then less often. A branch ends when its waste exceeds what a plan with fewer bins could afford;
+    best-fit completes it on the way, and a better plan becomes the incumbent. ``steps`` bounds the search, not the
+    input: when they are used up, the incumbent stands and ``Plan.bound`` shows how far it may be from the optimum.
+    With enough steps every plan is considered.
     """
     counts = {s: c for s, c in counts.items() if c}
-    nodes = max(6000, 4 * len(counts)) if nodes is None else nodes
-    best = best_fit(counts, capacity)
-    n_best, bound = sum(n for _, n in best), lower_bound(counts, capacity)
-    volume = sum(s * c for s, c in counts.items())
-    left, sizes, runs, waste = dict(counts), sorted(counts), [], 0
-    stack: list[tuple[list, int]] = []  # fillings not tried yet, and the waste before
+    runs = best_fit(counts, capacity)
+    best = Plan(runs, sum(n for _, n in runs), lower_bound(counts, capacity), False)
+    volume, budget = sum(s * c for s, c in counts.items()), Steps(steps)
+    left, sizes, taken, waste = dict(counts), sorted(counts), [], 0
+    options: list[tuple[Iterator, int]] = []
+    pause = next_fit = max(1, len(counts) // COMPLETIONS)
 
     def change(filling: tuple[int, ...], n: int) -> None:
-        for x in set(filling):
-            before = left.get(x, 0)
-            left[x] = before + n * filling.count(x)
+        for x, k in Counter(filling).items():
+            before = left[x]
+            left[x] = before + n * k
             if left[x] and not before:
                 bisect.insort(sizes, x)
             elif before and not left[x]:
-                sizes.remove(x)
-
-    while n_best > bound and nodes > 0:
-        nodes -= 1
-        afford = (n_best - 1) * capacity - volume
-        if not sizes:
-            best, n_best = list(runs), sum(n for _, n in runs)
-        elif waste <= afford and len(stack) == len(runs):
-            top = sizes[-1]
-            left[top] -= 1
-            ways = fillings(left, sizes, capacity - top) or [()]
-            left[top] += 1
-            stack.append(([(top, *w) for w in ways][::-1], waste))
-            # fall through to try its first filling
-        while stack:
-            ways, before = stack[-1]
-            if len(runs) == len(stack):
-                filling, n = runs.pop()
-                change(filling, n)
-                waste = before
-            if ways and waste <= (n_best - 1) * capacity - volume:
-                filling = ways.pop()
-                n = min(left[x] // filling.count(x) for x in set(filling))
-                runs.append((filling, n))
-                change(filling, -n)
-                waste = before + n * (capacity - sum(filling))
+                del sizes[bisect.bisect_left(sizes, x)]
+
+    def keep(more: list[Run]) -> None:
+        bins = sum(n for _, n in taken) + sum(n for _, n in more)
+        if bins < best.bins:
+            best.runs, best.bins = [*taken, *more], bins
+
+    def ways() -> Iterator[tuple[tuple[int, ...], int, int]]:
+        """(filling, times, waste each) at this node, before anything of it is placed."""
+        top, now = sizes[-1], dict(left)
+        now[top] -= 1
+        own, before = [s for s in sizes if now[s]], waste
+        for slack, rest in fillings(now, own, capacity - top, afford() - before, budget):
+            if before + slack > afford():  # the incumbent is better by now
+                return
+            filling = (top, *rest)
+            for n in range(min((now[x] + (x == top)) // k for x, k in Counter(filling).items()), 0, -1):
+                yield filling, n, slack
+
+    def afford() -> int:
+        return (best.bins - 1) * capacity - volume
+
+    try:
+        while best.bins > best.bound:
+            if not sizes:
+                keep([])
+            elif len(options) == len(taken) and waste <= afford():
+                if len(taken) >= next_fit:
+                    next_fit = len(taken) + pause
+                    budget.take(4 * len(sizes))
+                    keep(best_fit({s: left[s] for s in sizes}, capacity))
+                options.append((ways(), waste))
+            while options:
+                if len(taken) == len(options):
+                    filling, n = taken.pop()
+                    change(filling, n)
+                    waste = options[-1][1]
+                way = next((w for w in options[-1][0] if waste + w[1] * w[2] <= afford()), None)
+                if way:
+                    filling, n, slack = way
+                    taken.append((filling, n))
+                    change(filling, -n)
+                    waste += n * slack
+                    break
+                options.pop()
+            if not options:
                 break
-            stack.pop()
-        if not stack:
-            break
+        best.proved = True
+    except Spent:
+        best.proved = best.bins == best.bound
     return best
 
 
@@ -336,7 +401,7 @@ def pack_documents(
     spark = docs.sparkSession
     pieces = materialise(token_pieces(docs, tokenizer, ident, text, capacity, end_id), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
-    plan = spark.sparkContext.broadcast(slots(bin_completion(counts, capacity)))
+    plan = spark.sparkContext.broadcast(slots(bin_completion(counts, capacity).runs))
     salts = max(32, -(-sum(counts.values()) // 100_000))
     salted = pieces.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     each = salted.groupBy("length", "__salt").agg(F.count("*").alias("n"))

@@ -1,5 +1,6 @@
 """Operators that look at one text at a time."""
 
+import itertools
 import os
 import random
 import zlib
@@ -86,37 +87,88 @@ def test_token_counts(spark):
     assert token_counts.token_counts(frame(spark, []), public_tokenizers.path("word_bpe_49k.json")).count() == 0
 
 
+def placed(runs):
+    out = Counter()
+    for filling, n in runs:
+        assert sum(filling) <= 2048 and n > 0
+        for x in filling:
+            out[x] += n
+    return out
+
+
 def test_plans_place_everything():
     r = random.Random(4)
     for _ in range(40):
         counts = dict(Counter(r.choices(range(1, 2049), k=r.randint(1, 200))))
-        bound = packing.lower_bound(counts, 2048)
-        fit, done = packing.best_fit(counts, 2048), packing.bin_completion(counts, 2048, 40)
-        for runs in (fit, done):
-            placed = Counter()
-            for filling, n in runs:
-                assert sum(filling) <= 2048
-                for x in filling:
-                    placed[x] += n
-            assert placed == counts
-        assert bound <= sum(n for _, n in done) <= sum(n for _, n in fit)
+        fit, plan = packing.best_fit(counts, 2048), packing.bin_completion(counts, 2048, 20_000)
+        assert placed(fit) == placed(plan.runs) == counts
+        assert plan.bound <= plan.bins == sum(n for _, n in plan.runs) <= sum(n for _, n in fit)
+        assert plan.proved or plan.bins > plan.bound
     # best-fit decreasing needs three bins here, the search finds two
-    assert sum(n for _, n in packing.bin_completion({4: 2, 3: 4}, 10)) == 2
-    assert packing.bin_completion({}, 2048) == []
-
-
-def test_search_goes_beyond_best_fit_with_many_lengths():
-    """Some 2,000 distinct lengths: the search places all of them by default, and meets the lower bound."""
+    assert packing.bin_completion({4: 2, 3: 4}, 10).bins == 2
+    assert packing.bin_completion({}, 2048).runs == []
+
+
+def fewest(pieces, capacity):
+    """The optimum by trying every bin for every piece."""
+    best = len(pieces)
+
+    def put(i, rooms):
+        nonlocal best
+        if len(rooms) < best:
+            if i == len(pieces):
+                best = len(rooms)
+                return
+            for room in set(rooms):
+                if room >= pieces[i]:
+                    rest = list(rooms)
+                    rest.remove(room)
+                    put(i + 1, [*rest, room - pieces[i]])
+            put(i + 1, [*rooms, capacity - pieces[i]])
+
+    put(0, [])
+    return best
+
+
+def test_search_finds_the_optimum_of_small_cases():
+    r = random.Random(12)
+    beaten = 0
+    for _ in range(250):
+        capacity = r.choice([10, 20, 37, 60])
+        pieces = sorted((r.randint(1, capacity * 2 // 3) for _ in range(r.randint(1, 10))), reverse=True)
+        plan = packing.bin_completion(dict(Counter(pieces)), capacity)
+        assert plan.proved and plan.bins == fewest(pieces, capacity), (pieces, capacity)
+        beaten += plan.bins < sum(n for _, n in packing.best_fit(dict(Counter(pieces)), capacity))
+    assert beaten
+
+
+def test_fillings_are_the_undominated_ones():
+    """Every maximal filling that no exchange of one or two pieces improves, and no other, in order of waste."""
+    r = random.Random(13)
+    for _ in range(60):
+        counts = {s: r.randint(1, 3) for s in r.sample(range(1, 25), r.randint(1, 6))}
+        room, sizes, want = r.randint(1, 40), sorted(counts), set()
+        for pick in itertools.product(*(range(counts[s] + 1) for s in sizes)):
+            waste = room - sum(s * k for s, k in zip(sizes, pick, strict=True))
+            free = [s for s, k in zip(sizes, pick, strict=True) if k < counts[s]]
+            own = [s for s, k in zip(sizes, pick, strict=True) for _ in range(k)]
+            pairs = [x + y for i, x in enumerate(own) for y in own[i + 1 :]]
+            worse = any(0 < f <= waste for f in free) or any(x < f <= x + waste for x in own for f in free) or any(x <= f <= x + waste for x in pairs for f in free)
+            if waste >= 0 and not worse:
+                want.add((waste, tuple(sorted(own, reverse=True))))
+        got = list(packing.fillings(counts, sizes, room, room, packing.Steps(10**9)))
+        assert set(got) == want and len(got) == len(want) and [w for w, _ in got] == sorted(w for w, _ in got)
+
+
+@pytest.mark.parametrize("hot", [0, 20_000])
+def test_search_goes_beyond_best_fit_with_many_lengths(hot):
+    """Some 2,000 distinct lengths, one of them hot: the search places all of them by default, and meets the lower bound."""
     r = random.Random(0)
-    counts = dict(Counter(min(2048, 1 + int(r.lognormvariate(5.8, 1.0))) for _ in range(100_000)))
-    runs = packing.bin_completion(counts, 2048)
-    placed = Counter()
-    for filling, n in runs:
-        assert sum(filling) <= 2048
-        for x in filling:
-            placed[x] += n
-    assert len(counts) > 2000 and placed == counts
-    assert sum(n for _, n in runs) == packing.lower_bound(counts, 2048) < sum(n for _, n in packing.best_fit(counts, 2048))
+    counts = Counter(min(2048, 1 + int(r.lognormvariate(5.8, 1.0))) for _ in range(100_000))
+    counts[400] += hot
+    plan = packing.bin_completion(dict(counts), 2048)
+    assert len(counts) > 2000 and placed(plan.runs) == counts
+    assert plan.bins == plan.bound <= sum(n for _, n in packing.best_fit(counts, 2048)) - (not hot)
 
 
 def test_packing_round_trip(spark):
