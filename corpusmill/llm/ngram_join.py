@@ -3,10 +3,11 @@
 1. Each block of documents learns the document frequency of its word n-grams. An n-gram of one document matches
    nothing; it only lengthens the head of the rare-first order.
 2. A text of n distinct n-grams emits those of its first n - ceil(t n) + 1 that another text holds, with their places.
-3. Texts with equal sets are one node. Nodes that share a prefix n-gram are paired with one pivot of that n-gram per
-   round (never all with all); length, positional and suffix filters drop pairs; each pair left is verified once,
-   exactly. Linked nodes merge, and only n-grams that still join different components go on. A last round takes every
-   pair of different components that remains, so no link is lost.
+3. Texts with equal sets are one node. Nodes that share a prefix n-gram are first paired with one pivot of that n-gram,
+   then within random parts of its group, four times larger in each round. Length, positional and suffix filters drop
+   pairs; each pair left is verified exactly. Linked nodes merge, and only pairs of different components go on, so a
+   group of near copies is joined by a few links for each node. An n-gram is done when one part has held its whole
+   group: every pair of different components that it could link has then been looked at, and no link is lost.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from .components import connected_components
 from .storage import materialise
 
 RANGES = 8
-PIVOT_ROUNDS = 3
+FIRST_PART, GROWTH = 8, 4
 
 
 def _sets(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +111,7 @@ def _candidate(a: str, b: str, percent: int):
 
 
 def _verified(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) of nodes that link; each pair is looked at once."""
+    """(a, b): the components of the pairs (x, y) of nodes that link."""
     left = shared.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("shared").alias("sx"))
     right = shared.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("shared").alias("sy"))
 
@@ -124,17 +125,63 @@ def _verified(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
                 at = np.searchsorted(b, a)
                 inter = int((b[np.minimum(at, len(b) - 1)] == a).sum())
                 keep.append(100 * inter >= percent * (nx + ny - inter))
-            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    full = pairs.join(left, "x").join(right, "y").select("x", "y", "nx", "sx", "ny", "sy")
-    return full.mapInArrow(run, "x long, y long")
+    full = pairs.join(left, "x").join(right, "y").select("a", "b", "nx", "sx", "ny", "sy")
+    return full.mapInArrow(run, "a long, b long").distinct()
 
 
-def _pivots(live: DataFrame, turn: int) -> DataFrame:
-    """One entry of each token: the smallest set at first, then another one in each round."""
-    order = F.struct(F.col("n") if turn == 0 else F.xxhash64(F.col("node"), F.lit(turn)), "node")
-    whole = F.struct("node", "n", "pos", "cells", "component")
-    return live.groupBy("token").agg(F.min_by(whole, order).alias("p")).select("token", "p.*")
+def _pairs(live: DataFrame, part: int, percent: int) -> DataFrame:
+    """(x, y, a, b): node pairs of different components a and b that pass the filters.
+
+    With ``part`` 0 each node meets the smallest set of each of its n-grams; otherwise the n-gram's group is dealt at
+    random to parts of about that many nodes, and those of one part meet.
+    """
+    x, y = F.col("a.node"), F.col("b.node")
+    on = (F.col("a.token") == F.col("b.token")) & (F.col("a.component") != F.col("b.component"))
+    if part:
+        deal = F.pmod(F.xxhash64("node", "token", F.lit(part)), F.ceil(F.col("m") / part))
+        live = live.withColumn("part", deal)
+        others, on = live, on & (F.col("a.part") == F.col("b.part")) & (x < y)
+    else:
+        whole = F.struct("node", "n", "pos", "cells", "component")
+        others = live.groupBy("token").agg(F.min_by(whole, F.struct("n", "node")).alias("p")).select("token", "p.*")
+        on = on & (x != y)
+    near = live.alias("a").join(others.alias("b"), on & _candidate("a", "b", percent))
+    ends = F.array_sort(F.array(F.struct(x.alias("node"), F.col("a.component").alias("c")), F.struct(y.alias("node"), F.col("b.component").alias("c"))))
+    near = near.select(ends.alias("e")).select(*[F.col("e")[i][f].alias(k) for i, f, k in ((0, "node", "x"), (1, "node", "y"), (0, "c", "a"), (1, "c", "b"))])
+    return near.distinct()
+
+
+def _merged(comps: DataFrame | None, new: DataFrame) -> DataFrame:
+    """(node, component) after components have become nodes of larger ones."""
+    if comps is None:
+        return new
+    to = new.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    moved = comps.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return moved.unionByName(new.join(comps, "node", "left_anti"))
+
+
+def _linked(entries: DataFrame, payload: DataFrame, percent: int) -> DataFrame | None:
+    """(node, component) of every linked node, from entries (token, m, node, n, pos, cells); None without links."""
+    comps, part = None, 0
+    live = entries.withColumn("component", F.col("node"))
+    while True:
+        pairs = materialise(_pairs(live, part, percent), "pairs")
+        needed = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
+        links = materialise(_verified(pairs, payload.join(needed, "node", "left_semi").dropDuplicates(["node"]), percent), "links")
+        if not links.isEmpty():
+            comps = materialise(_merged(comps, connected_components(links)), "components")
+        at = entries.filter(F.col("m") > part)  # smaller groups were one part: they are done
+        if comps is None:
+            at = at.withColumn("component", F.col("node"))
+        else:
+            at = at.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        span = at.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        live = materialise(at.join(span.filter("lo <> hi").select("token"), "token"), "open")
+        if live.isEmpty():
+            return comps
+        part = part * GROWTH or FIRST_PART
 
 
 def similar_sets(
@@ -153,35 +200,12 @@ def similar_sets(
     entries = rows.filter(F.size("token") > 0).select("node", "n", "cells", F.explode(F.arrays_zip("token", "pos")).alias("e"))
     entries = entries.select(F.col("e.token").alias("token"), "node", "n", F.col("e.pos").alias("pos"), "cells")
     entries = entries.groupBy("token", "node").agg(*[F.first(c).alias(c) for c in ("n", "pos", "cells")])
-    crowd = entries.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1").select("token")
+    crowd = entries.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1")
     entries = materialise(entries.join(crowd, "token"), "entries")
     payload = rows.filter(F.col("shared").isNotNull()).select("node", "n", "shared")
-
-    heads = rows.filter(F.size("token") > 0).groupBy("node").agg(F.first("token").alias("head"))
-    edges = None
-    live = entries.withColumn("component", F.col("node"))
-    for turn in range(PIVOT_ROUNDS + 1):
-        everything = turn > 0 and (turn == PIVOT_ROUNDS or not _crowded(live))
-        x, y = F.col("a.node"), F.col("b.node")
-        differ = (x < y) if everything else (x != y)
-        on = (F.col("a.token") == F.col("b.token")) & differ & (F.col("a.component") != F.col("b.component"))
-        if everything:  # a pair leaves the join at its first common n-gram only
-            live = materialise(live.join(heads, "node"), "open")
-            on = on & (F.array_intersect("a.head", "b.head")[0] == F.col("a.token"))
-        others = live if everything else _pivots(live, turn)
-        near = live.alias("a").join(others.alias("b"), on & _candidate("a", "b", percent))
-        pairs = materialise(near.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct(), "pairs")
-        needed = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
-        found = _verified(pairs, payload.join(needed, "node", "left_semi").dropDuplicates(["node"]), percent)
-        edges = materialise(found if edges is None else edges.unionByName(found), "links")
-        comps = connected_components(edges)
-        if everything:
-            break
-        at = entries.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        span = at.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        live = materialise(at.join(span.filter("lo <> hi").select("token"), "token"), "open")
-        if live.isEmpty():
-            break
+    comps = _linked(entries, payload, percent)
+    if comps is None:
+        comps = nodes.limit(0).select("node", F.col("node").alias("component"))
     label = nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = label.groupBy("component").agg(F.min("least").alias("component_id"))
     label = label.join(least, "component").select("node", "component_id")
@@ -191,18 +215,12 @@ def similar_sets(
     return out.unionByName(bare)
 
 
-def _crowded(live: DataFrame) -> bool:
-    """Whether pairing all open entries would cost many times the entries themselves."""
-    each = live.groupBy("token", "component").agg(F.count("*").cast("double").alias("c"))
-    per = each.groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-    pairs, rows = per.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.sum("s")).first()
-    return pairs > 4 * rows
-
-
 def one_per_component(docs: DataFrame, ident: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id names their component: one document of each class stays.
 
-    Rows linked with nothing stay, as do rows with a null id; rows that repeat an id share its fate.
+    Rows linked with nothing stay; rows that repeat an id share its fate. A row with a null id always stays, as it
+    cannot be named. Empty tables and other columns pass as they are.
     """
-    marked = similar_sets(docs, ident, text, width, percent).filter("component_id <=> doc_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(marked, F.col(ident).eqNullSafe(F.col("__keep")), "left_semi")
+    marked = similar_sets(docs, ident, text, width, percent).filter("component_id = doc_id").select(F.col("doc_id").alias("__keep")).distinct()
+    named = docs.join(marked, F.col(ident) == F.col("__keep"), "left_semi")
+    return named.unionByName(docs.filter(F.col(ident).isNull()))

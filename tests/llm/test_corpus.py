@@ -59,7 +59,32 @@ def test_ngram_join(spark, width, percent):
     kept = ngram_join.one_per_component(frame(spark), width=width, percent=percent)
     assert kept.columns == frame(spark).columns
     names = {i for i, _, c in want if i == c and i is not None}
-    assert {r["doc_id"] for r in kept.collect()} - {None} == names
+    assert {r["doc_id"] for r in kept.collect()} == names | {None}
+
+
+def test_null_ids_stay(spark):
+    """A row without an id stays whether it copies another or not."""
+    t = " ".join(f"w{i}" for i in range(40))
+    for more in ([], [(None, "other words " + t.replace("w", "v"))]):
+        df = spark.createDataFrame([(5, t), (6, t), (None, t), *more], "doc_id long, text string")
+        got = ngram_join.one_per_component(df).collect()
+        assert Counter(r["doc_id"] for r in got) == Counter({5: 1, None: 1 + len(more)})
+
+
+def test_ngram_join_parts(spark, monkeypatch):
+    """Groups far larger than the first parts: several rounds lose no link."""
+    monkeypatch.setattr(ngram_join, "FIRST_PART", 2)
+    monkeypatch.setattr(ngram_join, "GROWTH", 2)
+    r = random.Random(21)
+    base = [[f"{g}w{i}" for i in range(50)] for g in range(3)]
+    texts = []
+    for k in range(90):
+        w = list(base[k % 3])
+        for _ in range(r.randint(0, 3)):
+            w[r.randrange(50)] = f"x{r.randrange(30)}"
+        texts.append(" ".join(w))
+    got = ngram_join.similar_sets(simple(spark, texts), width=4, percent=85).collect()
+    assert sorted(map(tuple, got)) == sorted(components(list(enumerate(texts)), 4, 85))
 
 
 def test_ngram_join_near_group(spark):
