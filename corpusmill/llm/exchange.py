@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 BLOCK, SHARD = "__block", "__shard"
 MESSAGES = f"{BLOCK} long, {SHARD} long, keys binary, vals binary"
+_PACKER, _UNPACKER = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -39,6 +40,28 @@ def unpack(blob: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def pack_all(columns: list[np.ndarray]) -> bytes:
+    """Several columns of non-negative integers as one blob: byte planes of all of them under zstd."""
+    head, planes = [], []
+    for column in columns:
+        v = np.ascontiguousarray(column, dtype="<u8")
+        width = max(1, (int(v.max()).bit_length() + 7) // 8) if len(v) else 1
+        head += [len(v), width]
+        planes.append(np.ascontiguousarray(v.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
+    return _PACKER.compress(np.array(head, dtype="<u4").tobytes() + b"".join(planes))
+
+
+def unpack_all(blob: bytes, n: int) -> list[np.ndarray]:
+    raw = _UNPACKER.decompress(blob)
+    out, at = [], 8 * n
+    for size, width in np.frombuffer(raw, dtype="<u4", count=2 * n).reshape(n, 2).tolist():
+        v = np.zeros((size, 8), dtype=np.uint8)
+        v[:, :width] = np.frombuffer(raw, dtype=np.uint8, count=size * width, offset=at).reshape(width, size).T
+        out.append(v.view("<u8").ravel())
+        at += size * width
+    return out
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
     return pack(np.diff(keys, prepend=keys.dtype.type(0)))
 

@@ -25,6 +25,8 @@ def test_messages_round_trip():
         assert (exchange.unpack(exchange.pack(v)) == v).all()
         s = np.unique(v)
         assert (exchange.unpack_sorted(exchange.pack_sorted(s)) == s).all()
+    columns = [r.integers(0, top, n, dtype=np.uint64) for top, n in ((200, 3), (1 << 40, 50), (9, 0))]
+    assert all((a == b).all() for a, b in zip(exchange.unpack_all(exchange.pack_all(columns), 3), columns, strict=True))
     lay = exchange.Layout(1, 7, 24)
     cuts = lay.cuts(np.arange(1 << 10, dtype=np.uint64) << np.uint64(14))
     assert cuts[0] == 0 and cuts[-1] == 1 << 10 and len(cuts) == 8
@@ -179,7 +181,7 @@ def lm_by_hand(rows, m2=lm_scoring.MASS[0], m3=lm_scoring.MASS[1]):
 
 def test_lm_scores(spark):
     rows = [(r[0], r[1]) for r in messy_rows()]
-    got = sorted((tuple(x) for x in lm_scoring.score_documents(frame(spark), spare_bits=34).collect()), key=repr)
+    got = sorted((tuple(x) for x in lm_scoring.score_documents(frame(spark)).collect()), key=repr)
     want = sorted(lm_by_hand(rows), key=repr)
     assert [g[:5] for g in sorted(got, key=lambda g: (g[0] is None, g[0] or 0, g[2]))] == [w[:5] for w in sorted(want, key=lambda w: (w[0] is None, w[0] or 0, w[2]))]
     by = {(w[0], w[2]): w for w in want}
@@ -199,12 +201,39 @@ def test_lm_counts_are_not_shared(spark):
 
 
 def test_lm_is_a_distribution():
-    """Probabilities of all words and one unknown word after any state add up to one."""
-    tokens = np.array([1, 2, 1, 3], dtype=np.uint64)
-    total, vocabulary = 10, 3
-    counts = {1: 5.0, 2: 3.0, 3: 2.0}
-    p = sum((c + 0.5) / (total + 0.5 * (vocabulary + 1)) for c in counts.values()) + 0.5 / (total + 0.5 * (vocabulary + 1))
-    assert p == pytest.approx(1) and len(tokens) == 4
+    """After any history, the automaton's probabilities of all words and of one unknown word add up to one."""
+    r = random.Random(17)
+    train = [[*(r.randrange(6) for _ in range(r.randint(1, 12))), 50] for _ in range(30)]  # 50 ends a text
+    c1 = Counter(w for t in train for w in t)
+    c2, c3 = Counter(), Counter()
+    for t in train:
+        c2.update(zip(t, t[1:], strict=False))
+        c3.update(zip(t, t[1:], t[2:], strict=False))
+    for history in ([0, 1], [1, 9], [9, 2], [9, 9], [3, 3], [5, 0]):
+        rows = [[*history, w] for w in [*sorted(c1), 9]] + [history] * (len(c1) + 1)
+        tokens = np.array([w for t in rows for w in t], dtype=np.uint64)
+        first = np.cumsum([0] + [len(t) for t in rows])
+        g = lm_scoring.Grams(tokens, first, np.array([7 * w for w in sorted({*tokens.tolist()})], dtype=np.uint64))
+        word = (g.ids // np.uint64(7)).astype(int).tolist()
+        pairs = list(zip(*(np.array(word)[x].tolist() for x in (g.left, g.right)), strict=True))
+        triples = [(*pairs[h], word[w]) for h, w in zip(g.history, g.last, strict=True)]
+        count = [np.array([c[k] for k in keys], dtype=np.uint64) for c, keys in ((c1, word), (c2, pairs), (c3, triples))]
+        score = lm_scoring.Automaton(g, count, sum(c1.values()), len(c1), (3.0, 0.7)).traverse()
+        k = len(c1) + 1
+        assert (10 ** (score[:k] - score[k:])).sum() == pytest.approx(1)
+
+
+def test_lm_long_texts_in_segments(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{random.Random(i).randrange(9)}{k % 5}" for k in range(n))) for i, n in enumerate((1, 5, 700, 128, 127, 129))]
+    got = {x["doc_id"]: x["score"] for x in lm_scoring.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {w[0]: pytest.approx(w[6]) for w in lm_by_hand(rows)}
+
+
+def test_lm_numbers_beyond_32_bits():
+    a = np.array([1 << 40, 3, 1 << 40, 1 << 40], dtype=np.uint64)
+    b = np.array([5, 5, 1 << 50, 5], dtype=np.uint64)
+    k = lm_scoring._two(a, b)
+    assert k[0] == k[3] and len(set(k.tolist())) == 3
 
 
 def test_substring_dedup(spark):
