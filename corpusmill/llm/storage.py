@@ -21,9 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
     """Writes ``df`` as Parquet and reads it back: later steps survive lost executors and never repeat its work."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

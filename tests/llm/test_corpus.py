@@ -106,7 +106,7 @@ def test_ngram_join_near_group(spark):
 
 @pytest.fixture
 def small_table(monkeypatch):
-    """A rarity table of 4096 cells: quicker to build, and words share cells."""
+    """A rarity table of 4096 cells: words share cells."""
     monkeypatch.setattr(line_dedup, "CELLS", 12)
     monkeypatch.setattr(line_dedup, "SEGMENT", 6)
 
