@@ -17,19 +17,28 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .decontamination import plain_words
+from .storage import materialise
 
 TERM_BITS = 18
 HEADS = (4, 6)  # bytes: inflected and compounded forms share a head
-SAMPLE_ROWS = 24_000
+SAMPLE_ROWS, SAMPLE_BYTES = 24_000, 96 << 20
 
 
 @dataclass(frozen=True)
 class FitOptions:
-    """``sample_rows`` bounds the labelled rows the fit takes (chosen by a hash of their id)."""
+    """``sample_rows`` and ``sample_bytes`` bound the labelled rows the fit takes, and what their terms take on the driver.
+
+    The rows are chosen by a hash of their id. Learned are the ``terms`` terms that lean most to one label, and those of
+    pairs that lean otherwise than their two terms do: all pairs of the ``paired`` most frequent terms are looked at, and
+    those that part from the sum of both terms by ``pair_z`` standard deviations count. More terms only blur the fit.
+    """
 
     sample_rows: int = SAMPLE_ROWS
+    sample_bytes: int = SAMPLE_BYTES
     factors: int = 8
     terms: int = 2048
+    paired: int = 2048
+    pair_z: float = 6.0
     least_rows: int = 5
     epochs: int = 20
     batch: int = 256
@@ -75,19 +84,40 @@ class Machine:
         return 1.0 / (1.0 + np.exp(-np.clip(self.margin(terms, first)[0], -30, 30)))
 
 
-def choose_terms(terms: np.ndarray, first: np.ndarray, label: np.ndarray, options: FitOptions) -> np.ndarray:
-    """Mask of the terms that part the classes best (by chi-squared) among those of enough rows."""
-    n = 1 << TERM_BITS
-    on = np.repeat(label, np.diff(first))
-    a, all_ = np.bincount(terms[on > 0], minlength=n).astype(float), np.bincount(terms, minlength=n).astype(float)
-    rows, pos = len(label), max(1.0, label.sum())
-    expect = all_ * pos / rows
-    chi = (a - expect) ** 2 / np.maximum(expect * (1 - all_ / rows) * (1 - pos / rows), 1e-9)
-    chi[all_ < options.least_rows] = -1
-    keep = np.zeros(n, dtype=bool)
+def leaning_terms(counts: np.ndarray, positive: np.ndarray, label: np.ndarray, options: FitOptions) -> np.ndarray:
+    """The terms that part the labels best by chi-squared, among those of enough rows."""
+    rate = label.mean()
+    expect = counts * rate
+    chi = (positive - expect) ** 2 / np.maximum(expect * (1 - counts / len(label)) * (1 - rate), 1e-9)
+    chi[counts < options.least_rows] = -1
     best = np.argsort(-chi, kind="stable")[: options.terms]
-    keep[best[chi[best] >= 0]] = True
-    return keep
+    return best[chi[best] >= 0]
+
+
+def paired_terms(terms: np.ndarray, first: np.ndarray, label: np.ndarray, options: FitOptions) -> np.ndarray:
+    """The terms of pairs whose rows lean otherwise than the sum of what both terms tell."""
+    counts = np.bincount(terms, minlength=1 << TERM_BITS)
+    used = np.argsort(-counts, kind="stable")[: options.paired]
+    used = used[counts[used] >= options.least_rows]
+    place = np.full(len(counts), -1, dtype=np.int64)
+    place[used] = np.arange(len(used))
+    at, row = place[terms], tk.row_of(first)
+    row, at = row[at >= 0], at[at >= 0]
+    both, positive = np.zeros((2, len(used), len(used)), dtype=np.float32)
+    for a in range(0, len(label), 2048):
+        i, j = np.searchsorted(row, [a, a + 2048])
+        x = np.zeros((min(2048, len(label) - a), len(used)), dtype=np.float32)
+        x[row[i:j] - a, at[i:j]] = 1
+        both += x.T @ x
+        x = x[label[a : a + len(x)] > 0]
+        positive += x.T @ x
+    rate = label.mean()
+    own = np.diag(positive) / np.maximum(np.diag(both), 1)
+    expect = np.clip(own[:, None] + own[None, :] - rate, 0.0, 1.0)
+    z = np.abs(positive - both * expect) / np.sqrt(np.maximum(both * rate * (1 - rate), 1e-9))
+    z[both < options.least_rows] = 0
+    np.fill_diagonal(z, 0)
+    return used[(z >= options.pair_z).any(axis=1)]
 
 
 def fit(terms: np.ndarray, first: np.ndarray, label: np.ndarray, options: FitOptions) -> Machine:
@@ -95,16 +125,18 @@ def fit(terms: np.ndarray, first: np.ndarray, label: np.ndarray, options: FitOpt
     n, k = 1 << TERM_BITS, options.factors
     rng = np.random.default_rng(options.seed)
     rate = min(max(label.mean() if len(label) else 0.0, 1e-4), 1 - 1e-4)
-    m = Machine(float(np.log(rate / (1 - rate))), np.zeros(n), rng.normal(0, 0.01, (n, k)))
+    whole = Machine(float(np.log(rate / (1 - rate))), np.zeros(n), np.zeros((n, k)))
     if not len(label) or label.min() == label.max():
-        m.vector[:] = 0
-        return m
-    keep = choose_terms(terms, first, label, options)
-    m.vector[~keep] = 0
-    row = tk.row_of(first)[keep[terms]]
-    terms = terms[keep[terms]]
+        return whole
+    counts, positive = np.bincount(terms, minlength=n), np.bincount(terms[np.repeat(label, np.diff(first)) > 0], minlength=n)
+    used = np.union1d(leaning_terms(counts, positive, label, options), paired_terms(terms, first, label, options))
+    place = np.full(n, -1, dtype=np.int64)
+    place[used] = np.arange(len(used))
+    row, terms = tk.row_of(first), place[terms]
+    row, terms = row[terms >= 0], terms[terms >= 0]
     first = np.searchsorted(row, np.arange(len(label) + 1))
-    gw, gv, gb = np.full(n, 1e-2), np.full((n, k), 1e-2), 1e-2
+    m = Machine(whole.bias, np.zeros(len(used)), rng.normal(0, 0.01, (len(used), k)))
+    gw, gv, gb = np.full(len(used), 1e-2), np.full((len(used), k), 1e-2), 1e-2
     for _ in range(options.epochs):
         order = rng.permutation(len(label))
         for i in range(0, len(order), options.batch):
@@ -114,12 +146,17 @@ def fit(terms: np.ndarray, first: np.ndarray, label: np.ndarray, options: FitOpt
             t = terms[np.arange(stop[-1]) + np.repeat(first[pick] - stop[:-1], size)]
             margin, side = m.margin(t, stop)
             err = 1.0 / (1.0 + np.exp(-np.clip(margin, -30, 30))) - label[pick]
-            which, where = np.unique(t, return_inverse=True)
+            where = np.full(len(used), -1, dtype=np.int64)
+            where[t] = 0
+            which = np.flatnonzero(where == 0)
+            where[which] = np.arange(len(which))
+            where = where[t]
             e = np.repeat(err, size)
-            dw = np.bincount(where, weights=e, minlength=len(which)) / len(pick) + options.decay * m.weight[which]
-            dv = np.zeros((len(which), k))
-            np.add.at(dv, where, e[:, None] * (np.repeat(side, size, axis=0) - m.vector[t]))
-            dv = dv / len(pick) + options.decay * m.vector[which]
+            total = np.bincount(where, weights=e, minlength=len(which))
+            dw = total / len(pick) + options.decay * m.weight[which]
+            apart = np.repeat(err[:, None] * side, size, axis=0)
+            dv = np.stack([np.bincount(where, weights=apart[:, f], minlength=len(which)) for f in range(k)], axis=1)
+            dv = (dv - total[:, None] * m.vector[which]) / len(pick) + options.decay * m.vector[which]
             db = err.mean()
             gw[which] += dw * dw
             gv[which] += dv * dv
@@ -127,7 +164,9 @@ def fit(terms: np.ndarray, first: np.ndarray, label: np.ndarray, options: FitOpt
             m.weight[which] -= options.rate * dw / np.sqrt(gw[which])
             m.vector[which] -= 0.5 * options.rate * dv / np.sqrt(gv[which])
             m.bias -= options.rate * db / np.sqrt(gb)
-    return m
+    whole.bias = m.bias
+    whole.weight[used], whole.vector[used] = m.weight, m.vector
+    return whole
 
 
 def held_out(ident: str):
@@ -151,9 +190,14 @@ def train(docs: DataFrame, labels: DataFrame, ident: str, text: str, label: str,
             )
 
     kind = docs.schema[ident].dataType.simpleString()
-    got = rows.mapInArrow(run, f"id {kind}, label long, terms binary").collect()
-    got.sort(key=lambda r: (r["id"], r["terms"]))
-    got = got[: options.sample_rows]  # rows that repeat an id do not pass the bound
+    listed = rows.mapInArrow(run, f"id {kind}, label long, terms binary").groupBy("id").agg(F.min(F.struct("terms", "label")).alias("r"))  # one row of an id
+    listed = materialise(listed.select("id", F.xxhash64("id").alias("h"), "r.label", "r.terms"), "labelled-terms")
+    size = np.array([(r["h"], r["size"]) for r in listed.select("h", F.octet_length("terms").alias("size")).collect()], dtype=np.int64).reshape(-1, 2)
+    size = size[np.argsort(size[:, 0], kind="stable")]  # at most `sample_rows` rows of two numbers
+    fits = int(np.searchsorted(np.cumsum(size[:, 1]), options.sample_bytes, side="right"))
+    if fits < len(size):
+        listed = listed.filter(F.col("h") < int(size[fits, 0]))
+    got = sorted(listed.select("h", "label", "terms").collect())
     each = [np.frombuffer(r["terms"], dtype="<u4").astype(np.int64) for r in got]
     first = np.concatenate([[0], np.cumsum([len(x) for x in each], dtype=np.int64)]).astype(np.int64)
     terms = np.concatenate(each) if each else np.empty(0, np.int64)

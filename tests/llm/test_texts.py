@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.llm import decontamination, packing, quality_rules, token_counts, toxicity
 from corpusmill.llm import textkit as tk
@@ -303,6 +304,46 @@ def test_toxicity_learns_pairs(spark):
     assert bare.count() == len(docs)
 
 
+def test_toxicity_learns_pairs_without_leaning_words():
+    """The label is exactly one of two words: no single term tells anything, among many that could mislead."""
+    r = np.random.default_rng(5)
+    rows, label = [], []
+    for _ in range(4000):
+        a, b = (r.random(2) < 0.5).tolist()
+        rows.append(np.unique(np.concatenate([r.integers(10, 3000, 20), [1] * a, [2] * b]).astype(np.int64)))
+        label.append(float(a != b))
+    first, label = np.cumsum([0] + [len(x) for x in rows]), np.array(label)
+    cut = 3000
+    machine = toxicity.fit(np.concatenate(rows[:cut]), first[: cut + 1], label[:cut], toxicity.FitOptions())
+    score = machine.score(np.concatenate(rows[cut:]), first[cut:] - first[cut])
+    order = np.argsort(score)
+    rank = np.empty(len(score))
+    rank[order] = np.arange(1, len(score) + 1)
+    pos = label[cut:] > 0
+    assert (rank[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum()) > 0.95
+
+
+def test_toxicity_sample_is_bounded(spark):
+    """A repeated id counts once, and the terms on the driver keep to their bound."""
+    rows = [(i % 50, f"word{i % 9} bad other{i}" if i % 2 else "good words here") for i in range(400)]
+    labels = [(i, i % 2) for i in range(50)]
+    d, l = spark.createDataFrame(rows, "doc_id long, text string").withColumn("label", F.lit("x")).withColumn("h", F.lit(1)), spark.createDataFrame(labels, "doc_id long, toxic int")
+    seen = []
+
+    def fit(terms, first, label, options, real=toxicity.fit):
+        seen.append((len(label), 4 * len(terms)))
+        return real(terms, first, label, options)
+
+    kept, toxicity.fit = toxicity.fit, fit
+    try:
+        assert toxicity.score_toxicity(d, l).count() == 400
+        assert toxicity.score_toxicity(d, l, options=toxicity.FitOptions(sample_bytes=200)).count() == 400
+        assert toxicity.score_toxicity(d.limit(0), l).count() == 0
+    finally:
+        toxicity.fit = kept
+    assert seen[0][0] == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(50)) and 0 < seen[1][1] <= 200 and seen[2][0] == 0
+
+
 def test_toxicity_heldout_labels_do_not_matter(spark):
     docs = simple(spark, [f"word{i % 7} bad" if i % 3 == 0 else f"word{i % 5} good" for i in range(300)])
     rows = [(i, int(i % 3 == 0)) for i in range(300)]
