@@ -21,7 +21,7 @@ from .storage import materialise
 
 TERM_BITS = 18
 HEADS = (4, 6)  # bytes: inflected and compounded forms share a head
-SAMPLE_ROWS, SAMPLE_BYTES = 24_000, 96 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 24_000, 40 << 20
 
 
 @dataclass(frozen=True)
@@ -94,15 +94,21 @@ def leaning_terms(counts: np.ndarray, positive: np.ndarray, label: np.ndarray, o
     return best[chi[best] >= 0]
 
 
+def _of(terms: np.ndarray, first: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place in ``used``) of each entry whose term is used."""
+    place = np.full(1 << TERM_BITS, -1, dtype=np.int32)
+    place[used] = np.arange(len(used))
+    at = place[terms]
+    on = at >= 0
+    return np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))[on], at[on]
+
+
 def paired_terms(terms: np.ndarray, first: np.ndarray, label: np.ndarray, options: FitOptions) -> np.ndarray:
     """The terms of pairs whose rows lean otherwise than the sum of what both terms tell."""
     counts = np.bincount(terms, minlength=1 << TERM_BITS)
     used = np.argsort(-counts, kind="stable")[: options.paired]
     used = used[counts[used] >= options.least_rows]
-    place = np.full(len(counts), -1, dtype=np.int64)
-    place[used] = np.arange(len(used))
-    at, row = place[terms], tk.row_of(first)
-    row, at = row[at >= 0], at[at >= 0]
+    row, at = _of(terms, first, used)
     both, positive = np.zeros((2, len(used), len(used)), dtype=np.float32)
     for a in range(0, len(label), 2048):
         i, j = np.searchsorted(row, [a, a + 2048])
@@ -128,12 +134,9 @@ def fit(terms: np.ndarray, first: np.ndarray, label: np.ndarray, options: FitOpt
     whole = Machine(float(np.log(rate / (1 - rate))), np.zeros(n), np.zeros((n, k)))
     if not len(label) or label.min() == label.max():
         return whole
-    counts, positive = np.bincount(terms, minlength=n), np.bincount(terms[np.repeat(label, np.diff(first)) > 0], minlength=n)
+    counts, positive = np.bincount(terms, minlength=n), np.bincount(terms[np.repeat(label > 0, np.diff(first))], minlength=n)
     used = np.union1d(leaning_terms(counts, positive, label, options), paired_terms(terms, first, label, options))
-    place = np.full(n, -1, dtype=np.int64)
-    place[used] = np.arange(len(used))
-    row, terms = tk.row_of(first), place[terms]
-    row, terms = row[terms >= 0], terms[terms >= 0]
+    row, terms = _of(terms, first, used)
     first = np.searchsorted(row, np.arange(len(label) + 1))
     m = Machine(whole.bias, np.zeros(len(used)), rng.normal(0, 0.01, (len(used), k)))
     gw, gv, gb = np.full(len(used), 1e-2), np.full((len(used), k), 1e-2), 1e-2
@@ -198,10 +201,10 @@ def train(docs: DataFrame, labels: DataFrame, ident: str, text: str, label: str,
     if fits < len(size):
         listed = listed.filter(F.col("h") < int(size[fits, 0]))
     got = sorted(listed.select("h", "label", "terms").collect())
-    each = [np.frombuffer(r["terms"], dtype="<u4").astype(np.int64) for r in got]
-    first = np.concatenate([[0], np.cumsum([len(x) for x in each], dtype=np.int64)]).astype(np.int64)
-    terms = np.concatenate(each) if each else np.empty(0, np.int64)
-    return fit(terms, first, np.array([r["label"] > 0 for r in got], dtype=float), options)
+    first = np.concatenate([[0], np.cumsum([len(r["terms"]) // 4 for r in got], dtype=np.int64)]).astype(np.int64)
+    label, terms = np.array([r["label"] > 0 for r in got], dtype=float), np.frombuffer(b"".join(r["terms"] for r in got), dtype="<i4")
+    del got
+    return fit(terms, first, label, options)
 
 
 def score_toxicity(
