@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .staging import staged
+
 
 def bucket_names(df: DataFrame) -> list[str]:
     names = [c for c in df.columns if c.startswith("minhash_bucket_")]
@@ -29,11 +31,28 @@ def survivors_by_pass(buckets: DataFrame, ident: str = "id", scope: str | None =
     return out
 
 
+def colliding(buckets: DataFrame, ident: str = "id", scope: str | None = None) -> DataFrame:
+    """The rows that share the value of some bucket column with another row. Only they can lose, or make others lose."""
+    names, keys = bucket_names(buckets), [scope] if scope else []
+    each = buckets.select(ident, *keys, F.posexplode(F.array(*names)).alias("__n", "__v")).filter(F.col("__v").isNotNull())
+    shared = each.groupBy(*keys, "__n", "__v").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
+    on = F.lit(True)
+    left, right = each.alias("l"), shared.alias("r")
+    for c in [*keys, "__n", "__v"]:
+        on = on & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    ids = left.join(right, on, "left_semi").select(ident).distinct()
+    return buckets.join(ids, ident, "left_semi")
+
+
 def with_dedup_keep(docs: DataFrame, buckets: DataFrame, ident: str = "id", scope: str | None = None) -> DataFrame:
-    """``docs`` with ``dedup_keep``: whether its id survived. Null texts, which collide with nothing, stay."""
-    names = bucket_names(buckets)
-    kept = survivors_by_pass(buckets, ident, scope)[-1].select(ident)
-    kept = kept.unionByName(buckets.filter(F.col(names[0]).isNull()).select(ident)).distinct().withColumn("__kept", F.lit(True))
+    """``docs`` with ``dedup_keep``: whether its id survived. Null texts, which collide with nothing, stay.
+
+    The buckets are written once; the passes then run over the rows that share a value with another one.
+    """
+    buckets = staged(buckets.select(ident, *([scope] if scope else []), *bucket_names(buckets)), "buckets")
+    some = staged(colliding(buckets, ident, scope), "colliding")
+    lost = staged(some.select(ident).join(survivors_by_pass(some, ident, scope)[-1].select(ident), ident, "left_anti").distinct(), "lost")
+    kept = buckets.select(ident).distinct().join(lost, ident, "left_anti").withColumn("__kept", F.lit(True))
     return docs.join(kept, ident, "left").withColumn("dedup_keep", F.coalesce("__kept", F.lit(False))).drop("__kept")
 
 

@@ -13,6 +13,7 @@ from ..functions import minhash as mh
 from ..functions import text as tx
 from ..operators import annotate, batching, dedup, features, lines
 from ..operators.release import release
+from ..operators.staging import staged
 from ..sources import crawl
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,7 +207,39 @@ def minhash_constants(spark, sf_dir):
     return spark.createDataFrame(rows, "p int, a long, b long, c long")
 
 
-@query()
+def _perms() -> str:
+    a, b, c, _ = mh.constants()
+    low = (1 << 31) - 1
+    return ", ".join(f"({k}, {int(x) & low}::UBIGINT, {int(x) >> 31}::UBIGINT, {int(y)}::UBIGINT, {int(z)}::HUGEINT)" for k, (x, y, z) in enumerate(zip(a, b, c, strict=True)))
+
+
+# Shingle hashes by doubling; a x + b mod P by 31-bit halves, all in 64 bits.
+_HALF = "(h + ((({al} * (n & 2147483647)) & {p}) + (({al} * (n & 2147483647)) >> 61) + ((({al} * (n >> 31) + {ah} * (n & 2147483647)) & 1073741823) << 31) + (({al} * (n >> 31) + {ah} * (n & 2147483647)) >> 30) + 2 * {ah} * (n >> 31)) % {p}) % {p}"
+
+
+def _doubled(step: int) -> str:
+    z = pow(mh.constants()[3], step, P)
+    new = _HALF.format(al=f"{z & ((1 << 31) - 1)}::UBIGINT", ah=f"{z >> 31}::UBIGINT", p=f"{P}::UBIGINT")
+    return f"s{2 * step} AS (SELECT doc_id, j, {new} AS h FROM (SELECT *, lead(h, {step}) OVER (PARTITION BY doc_id ORDER BY j) AS n FROM s{step}) WHERE n IS NOT NULL)"
+
+
+_SIGNATURE = rf"""c AS (SELECT doc_id, list_transform(regexp_extract_all(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}_ ]', '-', 'g'), '(?s).'), lambda c: unicode(c)) AS o FROM documents WHERE text IS NOT NULL),
+    s1 AS (SELECT doc_id, unnest(range(len(o))) AS j, unnest(o)::UBIGINT AS h FROM c), {", ".join(_doubled(1 << i) for i in range(4))},
+    x AS (SELECT DISTINCT doc_id, h & 2147483647 AS xl, h >> 31 AS xh FROM s16), p(k, al, ah, b, c) AS (VALUES {_perms()}),
+    m AS (SELECT doc_id, k, min((b + ((al * xl) & {P}::UBIGINT) + ((al * xl) >> 61) + (((al * xh + ah * xl) & 1073741823) << 31) + ((al * xh + ah * xl) >> 30) + 2 * ah * xh) % {P}::UBIGINT) AS m FROM x, p GROUP BY ALL),
+    g AS MATERIALIZED (SELECT c.doc_id, p.k, p.c, coalesce(m.m, {P}::UBIGINT)::BIGINT AS m FROM c CROSS JOIN p LEFT JOIN m ON m.doc_id = c.doc_id AND m.k = p.k)"""
+_BUCKETS = f"{_SIGNATURE}, v AS MATERIALIZED (SELECT doc_id, (k // 8)::INT AS bucket, (sum((c * m) % {P}) % {P})::BIGINT AS value FROM g GROUP BY ALL)"
+
+
+def _chain(scope: str = "") -> str:
+    wide = ", ".join(f"max(value) FILTER (bucket = {i}) AS b{i}" for i in range(14))
+    source = "JOIN documents USING (doc_id)" if scope else ""
+    first = f"w AS (SELECT doc_id, {scope} {wide} FROM v {source} GROUP BY {scope} doc_id)"
+    passes = [f"k{i} AS MATERIALIZED (SELECT * FROM {f'k{i - 1}' if i else 'w'} QUALIFY row_number() OVER (PARTITION BY {scope} b{i} ORDER BY doc_id) = 1)" for i in range(14)]
+    return f"{_BUCKETS}, {first}, {', '.join(passes)}"
+
+
+@query(f"WITH {_SIGNATURE} SELECT doc_id, k AS p, m AS minimum FROM g")
 def minhash_signature(spark, sf_dir):
     s = _spread(_docs(spark, sf_dir)).select("doc_id", mh.signature_column(mh.normalize_for_minhash(F.col("text"))).alias("s"))
     return s.select("doc_id", F.posexplode("s").alias("p", "minimum"))
@@ -217,34 +250,28 @@ def _buckets(spark, sf_dir, more: tuple[str, ...] = ()) -> DataFrame:
     return docs.drop("text")
 
 
-@query()
+@query(f"WITH {_BUCKETS} SELECT * FROM v")
 def minhash_buckets(spark, sf_dir):
     b = _buckets(spark, sf_dir)
     return b.select(F.col("id").alias("doc_id"), F.posexplode(F.array(*dedup.bucket_names(b))).alias("bucket", "value"))
 
 
-@query()
+@query(f"WITH {_chain()} " + " UNION ALL ".join(f"SELECT {i} AS pass, doc_id FROM k{i}" for i in range(14)))
 def dedup_chain(spark, sf_dir):
-    passes = dedup.survivors_by_pass(_buckets(spark, sf_dir).checkpoint() if _can_checkpoint(spark) else _buckets(spark, sf_dir))
     out = None
-    for i, s in enumerate(passes):
+    for i, s in enumerate(dedup.survivors_by_pass(staged(_buckets(spark, sf_dir), "buckets"))):
         one = s.select(F.lit(i).alias("pass"), F.col("id").alias("doc_id"))
         out = one if out is None else out.unionByName(one)
     return out
 
 
-def _can_checkpoint(spark) -> bool:
-    """Whether the session names a shared folder to cut lineage in; without one the plan stays whole."""
-    return bool(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
-
-
-@query()
+@query(f"WITH {_chain()} SELECT doc_id, text IS NULL OR doc_id IN (SELECT doc_id FROM k13) AS dedup_keep FROM documents")
 def dedup_keep(spark, sf_dir):
     b = _buckets(spark, sf_dir)
     return dedup.with_dedup_keep(_docs(spark, sf_dir).select(F.col("doc_id").alias("id")), b).select(F.col("id").alias("doc_id"), "dedup_keep")
 
 
-@query()
+@query(f"WITH {_chain('source,')} SELECT doc_id, source, text IS NULL OR doc_id IN (SELECT doc_id FROM k13) AS dedup_keep FROM documents")
 def dedup_per_group(spark, sf_dir):
     b = _buckets(spark, sf_dir, ("source",))
     docs = _docs(spark, sf_dir).select(F.col("doc_id").alias("id"), "source")
