@@ -15,11 +15,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import textkit as tk
 
 FUNCTIONS, TABLE_BITS = 64, 16
-BLOCK_ITEMS, BLOCK_BYTES = 2048, 8 << 20
+BLOCK_ITEMS, BLOCK_BYTES = 16384, 32 << 20
 WORD_BYTE = np.zeros(256, dtype=bool)
 WORD_BYTE[128:] = True
 for _a, _b in ((48, 58), (65, 91), (97, 123)):
@@ -175,7 +176,7 @@ def contained_items(
     """
     kinds = docs.schema[ident].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
     chosen = docs.select(F.col(ident).alias("doc_id"), F.col(text).alias("__text"))
-    item_type = pa.from_numpy_dtype(np.int64) if kinds[1] == "bigint" else None
+    item_type = to_arrow_type(items.schema[item_id].dataType)
     out = None
     for index in _blocks(items, item_id, item_text, width):
         sent = docs.sparkSession.sparkContext.broadcast(index)
@@ -201,7 +202,11 @@ def contained_items(
 def decontaminated(
     docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
+    """The rows of ``docs`` that hold no item, with all their columns.
+
+    Null, empty and wordless texts and items match nothing; repeated rows share their fate; empty tables give what is
+    there. The texts are read once for each block of items (``BLOCK_ITEMS``, ``BLOCK_BYTES``).
+    """
     for index in _blocks(items, item_id, item_text, width):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 

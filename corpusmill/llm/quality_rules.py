@@ -93,7 +93,8 @@ def measure(buf: np.ndarray, off: np.ndarray, rules: RepetitionRules) -> dict[st
     sums = np.concatenate([[0], np.cumsum(chars)])
     line_chars = np.bincount(line_row[later], weights=sums[b] - sums[a], minlength=n)
 
-    p, h = tk.windows(w.hash, w.first, WINDOW)
+    rolling = tk.Rolling(w.hash, w.first)
+    p, h = rolling.windows(WINDOW)
     both, _ = later_copies(rows[p], h)
     n_repeat = tk.sums(covered(len(rows), p[both], WINDOW), w.first)
 
@@ -101,10 +102,8 @@ def measure(buf: np.ndarray, off: np.ndarray, rules: RepetitionRules) -> dict[st
     total = np.maximum(word_chars, 1)
     failed = line_chars > rules.line_chars * total
     for width in sorted(rules.ngrams):
-        p, h = tk.windows(w.hash, w.first, width)
-        if alive is not None:  # a longer n-gram repeats only where its first shorter n-gram does
-            pick = alive[p]
-            p, h = p[pick], h[pick]
+        # a longer n-gram repeats only where its first shorter n-gram does
+        p, h = rolling.windows(width, None if alive is None else np.flatnonzero(alive))
         both, later = later_copies(rows[p], h)
         alive = np.zeros(len(rows), dtype=bool)
         alive[p[both]] = True

@@ -79,8 +79,9 @@ def repeated_passages(
     Also passages that come again later in the same text. Bounds are trimmed to whole words. Null and empty texts, and
     texts shorter than ``span`` bytes, hold no passage. Rows that repeat an id are one document: what they share is no
     repeat. Null ids come after all others. An empty table gives no rows; other columns are ignored. Ids are integers.
+    Chunks are equal if their whole 64-bit digests are.
     """
-    layout = ex.layout_of(docs, text, 1 / MEAN, 18)
+    layout = ex.layout_of(docs, text, 1 / MEAN, 64)
     kind = docs.schema[ident].dataType.simpleString()
 
     def keys_of(table):

@@ -52,6 +52,12 @@ INV_LOW = _powers(BASE_INV, LOW)
 INV_HIGH_BASE = pow(BASE_INV, LOW, 1 << 64)
 
 
+def power(at: np.ndarray) -> np.ndarray:
+    """Powers of the base at any position: products of two small tables."""
+    top = int(at.max() >> 16) + 1 if len(at) else 1
+    return POW[at & (LOW - 1)] * _powers(pow(BASE, LOW, 1 << 64), max(top, 2))[at >> 16]
+
+
 def inverse_power(at: np.ndarray) -> np.ndarray:
     at = at.astype(np.int64)
     top = int(at.max() >> 16) + 1 if len(at) else 1
@@ -175,6 +181,23 @@ def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarr
     return at, mix(h[at])
 
 
+class Rolling:
+    """Rolling hash over the elements of all rows: a window of any width is a difference of two prefix sums."""
+
+    def __init__(self, hashes: np.ndarray, first: np.ndarray):
+        at = np.arange(len(hashes))
+        self.prefix = np.zeros(len(hashes) + 1, dtype=U64)
+        np.cumsum(hashes * power(at), out=self.prefix[1:])
+        self.back = inverse_power(at)
+        self.end = np.repeat(first[1:], np.diff(first))
+
+    def windows(self, width: int, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(position, hash) of every run of ``width`` elements inside one row, among those at ``starts`` if given."""
+        at = np.arange(len(self.end)) if starts is None else starts
+        at = at[at + width <= self.end[at]]
+        return at, mix((self.prefix[at + width] - self.prefix[at]) * self.back[at])
+
+
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of all word shingles; a row with 1 to ``width`` - 1 words gives its whole sequence as one."""
     rows = row_of(words.first)

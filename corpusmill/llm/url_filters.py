@@ -127,7 +127,9 @@ def judge_urls(
     an empty table gives no rows; other columns are ignored.
     """
     host, path = host_and_path(F.col(url))
-    judged = pages.select(F.col(ident).alias("page_id"), host.alias("host"), path.alias("path"), address(F.col(url)).alias("__node"))
+    # the generator keeps Catalyst from writing these expressions out again in every rule's test
+    parts = F.inline(F.array(F.struct(host.alias("host"), path.alias("path"), address(F.col(url)).alias("__node"))))
+    judged = pages.select(F.col(ident).alias("page_id"), parts)
     judged = judged.withColumn("__rule", fitting_rule(F.col("host"), F.col("path"), rules))
     edges = page_links(pages, url, html) if html else None
     if redirects is not None:
@@ -140,9 +142,11 @@ def judge_urls(
         if not edges.isEmpty():
             classes = materialise(connected_components(edges, "url-classes"), "url-classes")
             h, p = host_and_path(F.col("node"))
-            members = classes.select("node", "component", fitting_rule(h, p, rules)["verdict"].alias("v"))
+            members = classes.select("component", F.inline(F.array(F.struct(h.alias("h"), p.alias("p")))))
+            members = members.select("component", fitting_rule(F.col("h"), F.col("p"), rules)["verdict"].alias("v"))
             told = members.groupBy("component").agg(F.min("v").alias("__told"))  # allow sorts before block
             known = classes.join(told, "component").select(F.col("node").alias("__node"), "__told", F.col("component").alias("class_address"))
-            out = judged.join(known, "__node", "left").withColumn("class_address", F.coalesce("class_address", "__node"))
+            named = judged.filter("__node is not null").join(known, "__node", "left").withColumn("class_address", F.coalesce("class_address", "__node"))
+            out = named.unionByName(out.filter("__node is null"))  # pages without an address never meet in one task
     verdict = F.coalesce(F.col("__rule")["verdict"], F.col("__told"), F.lit("allow"))
     return out.select("page_id", "host", "path", F.col("__rule")["rule"].alias("rule"), verdict.alias("verdict"), "class_address")

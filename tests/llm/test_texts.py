@@ -79,6 +79,24 @@ def test_a_unit_of_any_length_has_its_ids(monkeypatch):
     assert np.array_equal(units.ids(buf, off)[0], want) and asked[1] == [" long"]
 
 
+def test_rolling_hashes_are_those_of_the_windows(monkeypatch):
+    r = np.random.default_rng(3)
+    words = r.integers(0, 3, 400).astype(np.uint64)
+    first = np.array([0, 7, 7, 150, 400])
+    monkeypatch.setattr(tk, "LOW", 1 << 16)
+    rolling = tk.Rolling(tk.mix(words), first)
+    for width in (1, 3, 8):
+        at, h = rolling.windows(width)
+        assert at.tolist() == [i for a, b in zip(first, first[1:], strict=False) for i in range(a, b - width + 1)]
+        by = {}
+        for i, x in zip(at.tolist(), h.tolist(), strict=True):
+            assert by.setdefault(tuple(words[i : i + width].tolist()), x) == x
+        assert len(set(by.values())) == len(by)
+    long = tk.Rolling(tk.mix(np.tile(words[:100], 3000)), np.array([0, 300_000]))
+    h = long.windows(8)[1]
+    assert (h[:100] == h[100:200]).all() and (h[:100] == h[299_900 - 100 : 299_900]).all()
+
+
 def test_token_counts(spark):
     t = library("word_bpe_49k.json")
     rows = token_counts.token_counts(frame(spark), public_tokenizers.path("word_bpe_49k.json")).collect()
@@ -276,6 +294,12 @@ def test_decontamination(spark):
     assert got == want and len(want) > 30
     left = decontamination.decontaminated(d, b)
     assert {x["doc_id"] for x in left.collect()} == {i for i, _ in docs} - {w[0] for w in want}
+    for kind in ("int", "string"):
+        other = decontamination.contained_items(d, b.withColumn("item_id", F.col("item_id").cast(kind)))
+        assert {(x[0], int(x[1]), *x[2:]) for x in other.collect()} == want
+    twice = decontamination.contained_items(d.union(d).withColumn("item_id", F.lit("x")), b.withColumn("doc_id", F.lit("y")))
+    assert Counter(map(tuple, twice.collect())) == Counter([w for w in want for _ in "ab"])
+    assert decontamination.contained_items(d.limit(0), b).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contained_items(d, none).count() == 0 and decontamination.decontaminated(d, none).count() == len(docs)
 
