@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import time
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -52,18 +53,22 @@ def byte_range_requests(index: DataFrame, per_request: int = 100) -> DataFrame:
 # ---- records ---------------------------------------------------------------------------------------------------
 
 
-def gunzip_members(raw: bytes) -> Iterator[bytes]:
-    """The members of a gzip stream one by one; a damaged end is left out."""
-    while raw:
-        d = zlib.decompressobj(31)
-        try:
-            out = d.decompress(raw) + d.flush()
-        except zlib.error:
-            return
+def gunzip_members(raw: bytes, step: int = 1 << 14) -> Iterator[bytes]:
+    """The members of a gzip stream one by one, each in time linear in its size; a damaged end is left out."""
+    view, at = memoryview(raw), 0
+    while at < len(view):
+        d, parts = zlib.decompressobj(31), []
+        while not d.eof and at < len(view):
+            piece = view[at : at + step]
+            try:
+                parts.append(d.decompress(piece))
+            except zlib.error:
+                return
+            at += len(piece)
         if not d.eof:
             return
-        yield out
-        raw = d.unused_data
+        at -= len(d.unused_data)
+        yield b"".join(parts)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -104,20 +109,39 @@ def http_payload(block: bytes) -> bytes:
 
 
 def warc_rows(path: str, raw: bytes) -> Iterator[tuple]:
-    data = b"".join(gunzip_members(raw)) if raw[:2] == b"\x1f\x8b" else raw
-    for h, block in parse_warc(data):
-        if h.get("warc-type", "response") == "response" and "warc-target-uri" in h:
-            yield h["warc-target-uri"], path, h.get("warc-date"), h.get("warc-block-digest"), http_payload(block)
+    """Response records of a file's bytes. A zipped file is inflated member by member (a member holds whole records)."""
+    for data in gunzip_members(raw) if raw[:2] == b"\x1f\x8b" else (raw,):
+        for h, block in parse_warc(data):
+            if h.get("warc-type", "response") == "response" and "warc-target-uri" in h:
+                yield h["warc-target-uri"], path, h.get("warc-date"), h.get("warc-block-digest"), http_payload(block)
+
+
+NAMES = ["url", "warc_file", "warc_date", "warc_block_digest", "payload"]
+
+
+def frames(rows: Iterator[tuple], limit: int = 16 << 20) -> Iterator[pd.DataFrame]:
+    """The rows in frames of about ``limit`` bytes of payload."""
+    pool, size = [], 0
+    for row in rows:
+        pool.append(row)
+        size += len(row[-1])
+        if size >= limit:
+            yield pd.DataFrame(pool, columns=NAMES)
+            pool, size = [], 0
+    if pool:
+        yield pd.DataFrame(pool, columns=NAMES)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Response records of all WARC files below a path, keyed by a digest of what identifies a capture."""
+    """Response records of all WARC files below a path, keyed by a digest of what identifies a capture.
+
+    A task holds one file as stored, and inflates and hands on its records a bounded number of bytes at a time.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["url", "warc_file", "warc_date", "warc_block_digest", "payload"]
         for batch in batches:
             for p, raw in zip(batch["path"], batch["content"], strict=True):
-                yield pd.DataFrame(list(warc_rows(p, bytes(raw))), columns=names)
+                yield from frames(warc_rows(p, bytes(raw)))
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.warc*").load(path)
     return with_id(files.select("path", "content").mapInPandas(run, RECORD))
@@ -158,26 +182,38 @@ def parse_range_answer(status: int, content_type: str, body: bytes) -> list[byte
 
 
 Fetch = Callable[[str, str], tuple[int, str, bytes]]
+#: Answers that are worth another try.
+RETRY_STATUS = (500, 503, 403, 429)
 
 
-def fetch_documents(requests: DataFrame, fetch: Fetch, attempts: int = 10) -> DataFrame:
+def answered(fetch: Fetch, name: str, header: str, attempts: int, pause: float) -> tuple[int, str, bytes]:
+    """The answer to one request: tried again, after twice the pause each time, when it raises or its status says so."""
+    for n in range(attempts):
+        try:
+            answer = fetch(name, header)
+            if answer[0] not in RETRY_STATUS:
+                return answer
+            why: Exception = OSError(f"status {answer[0]} for {header} of {name}")
+        except OSError as e:
+            why = e
+        if n + 1 < attempts:
+            time.sleep(min(pause * 2**n, 60))
+    raise why
+
+
+def fetch_documents(requests: DataFrame, fetch: Fetch, attempts: int = 10, pause: float = 1.0) -> DataFrame:
     """Records behind (filename, request_no, header) rows, through an injected ``fetch(filename, header)``.
 
-    A request is tried again when it raises; if it never succeeds the task fails, and Spark's retry takes over.
+    A request that never succeeds, and an answer other than 206, fail the task, and Spark's retry takes over: nothing is
+    lost without notice.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["url", "warc_file", "warc_date", "warc_block_digest", "payload"]
         for batch in batches:
             for name, header in zip(batch["filename"], batch["header"], strict=True):
-                for left in range(attempts - 1, -1, -1):
-                    try:
-                        answer = fetch(name, header)
-                        break
-                    except OSError:
-                        if not left:
-                            raise
-                rows = [r for part in parse_range_answer(*answer) for r in warc_rows(name, part)]
-                yield pd.DataFrame(rows, columns=names)
+                answer = answered(fetch, name, header, attempts, pause)
+                if answer[0] != 206:
+                    raise OSError(f"status {answer[0]} for {header} of {name}")
+                yield from frames(r for part in parse_range_answer(*answer) for r in warc_rows(name, part))
 
     return with_id(requests.select("filename", "header").mapInPandas(run, RECORD))

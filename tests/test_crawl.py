@@ -51,6 +51,39 @@ def test_fetch(spark):
     assert got["url"] == "http://a/" and bytes(got["payload"]) == b"A"
 
 
+def test_members_in_linear_time():
+    """Many small members cost as many steps as there are members, not their square."""
+    import time
+
+    one = gzip.compress(b"x" * 50)
+    took = []
+    for n in (20_000, 80_000):
+        began = time.process_time()
+        assert sum(map(len, crawl.gunzip_members(one * n))) == 50 * n
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * took[0]
+    assert list(crawl.gunzip_members(one * 2 + one[:9])) == [b"x" * 50] * 2
+    big = gzip.compress(bytes(range(256)) * 1000)
+    assert list(crawl.gunzip_members(one + big, 100)) == [b"x" * 50, bytes(range(256)) * 1000]
+
+
+def test_frames_are_bounded():
+    rows = [("u", "f", None, None, b"x" * 10)] * 25
+    assert [len(f) for f in crawl.frames(iter(rows), 100)] == [10, 10, 5]
+
+
+def test_statuses_are_tried_again(spark):
+    a = record("http://a/", b"A")
+    answers = iter([(503, "", b""), (429, "", b""), (206, "application/octet-stream", a)])
+    assert crawl.answered(lambda n, h: next(answers), "f", "h", 3, 0)[0] == 206
+    with pytest.raises(OSError, match="503"):
+        crawl.answered(lambda n, h: (503, "", b""), "f", "h", 2, 0)
+    requests = spark.createDataFrame([("f", 0, "bytes=0-9")], "filename string, request_no int, header string")
+    for status in (503, 404):
+        with pytest.raises(Exception, match=str(status)):
+            crawl.fetch_documents(requests, lambda n, h, s=status: (s, "", b""), 2, 0).collect()
+
+
 def test_urls_fail_fast(spark, tmp_path):
     with gzip.open(tmp_path / "u.json.gz", "wt") as f:
         f.write('{"url": "a", "x": 1}\n{"url": "a"}\n')
