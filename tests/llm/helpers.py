@@ -106,3 +106,30 @@ def line_removals(rows, percent=80):
         if s in gone or first[s] != (i, t, k):
             out[i, t].append(k)
     return out
+
+
+def quality_by_hand(text):
+    w = words(text)
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    grams = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+    cover = {k for i in range(len(w) - 7) if grams[tuple(w[i : i + 8])] > 1 for k in range(i, i + 8)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(cover)
+
+
+def later_share(text, n):
+    w, seen, cover = words(text), set(), set()
+    for i in range(len(w) - n + 1):
+        g = tuple(w[i : i + n])
+        if g in seen:
+            cover.update(range(i, i + n))
+        seen.add(g)
+    return sum(len(w[k]) for k in cover) / max(1, sum(map(len, w)))
+
+
+def plain(text):
+    """Words to decontamination: runs of letters, digits and non-ASCII characters."""
+    return re.findall("[0-9a-z\u0080-\U0010ffff]+", low(text))

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from corpusmill.llm import exchange, line_dedup, lm_scoring, ngram_join, queries, substring_dedup, url_filters
+from corpusmill.llm import exchange, line_dedup, lm_scoring, ngram_join, quality_rules, queries, substring_dedup, url_filters
 from corpusmill.llm.components import connected_components
 from tests.conftest import SMALL
-from tests.llm.helpers import components, frame, line_removals, low, messy_rows, simple, words
+from tests.llm.helpers import components, frame, later_share, line_removals, low, messy_rows, plain, quality_by_hand, simple, words
 
 
 def test_messages_round_trip():
@@ -325,6 +325,83 @@ def test_pipeline(spark, small_table):
     assert packed and max(Counter((p["sequence_id"], p["offset"]) for p in packed).values()) == 1
 
 
+def pipeline_by_hand(rows, items):
+    """The five stages, each by its rule: (doc_id, piece, start, length, crc32) of what is left, and ids by stage."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rules, left = quality_rules.RepetitionRules(), []
+    for i, t in rows:
+        n, chars, _, _, repeated = quality_by_hand(t)
+        seen, dup = set(), 0
+        for line in (t or "").split("\n"):
+            if words(line):
+                dup += (line in seen) * sum(map(len, words(line)))
+                seen.add(line)
+        bad = n < 20 or 100 * repeated > 30 * n or dup > rules.line_chars * max(1, chars)
+        if not bad and all(later_share(t, k) <= v for k, v in rules.ngrams.items()):
+            left.append((i, t))
+    ids = [[i for i, _ in left]]
+    gone = line_removals(left)
+    left = [(i, "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get((i, t), []))) for i, t in left]
+    left = [(i, t) for i, t in left if words(t)]
+    ids.append([i for i, _ in left])
+    least = {i: c for i, _, c in components(left, 5, 80)}
+    left = [(i, t) for i, t in left if least[i] == i]
+    ids.append([i for i, _ in left])
+
+    def holds(t, x):
+        w, g = plain(t), plain(x)
+        n = min(5, len(g))
+        s = {tuple(g[k : k + n]) for k in range(len(g) - n + 1)} if n else set()
+        return bool(s) and 100 * len(s & {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}) >= 80 * len(s)
+
+    left = [(i, t) for i, t in left if not any(holds(t, x) for x in items)]
+    ids.append([i for i, _ in left])
+    lib, out = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), []
+    for i, t in left:
+        whole = np.array([*lib.encode(t, add_special_tokens=False).ids, 0], dtype="<u4")
+        a, b, k = 0, len(whole) % 2048 or 2048, 0
+        while a < len(whole):
+            out.append((i, k, a, b - a, zlib.crc32(whole[a:b].tobytes())))
+            a, b, k = b, b + 2048, k + 1
+    return out, ids
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """All five stages as run, at production parameters: the same pieces, and every stage takes some documents."""
+    r = random.Random(31)
+    v = ["".join(r.choices("abcdefghijklmnop", k=r.randint(2, 8))) for _ in range(900)]
+    say = lambda k: [r.choice(v) for _ in range(k)]
+    items, shared, texts = [" ".join(say(k)) for k in (12, 40, 90)], [" ".join(say(12)) for _ in range(8)], []
+    for i in range(160):
+        kind = r.random()
+        if kind < 0.3 and texts:
+            w = r.choice(texts).split(" ")
+            for _ in range(r.randint(0, 3)):
+                w[r.randrange(len(w))] = r.choice(v)
+            texts.append(" ".join(w))
+            continue
+        parts = [" ".join(say(r.randint(3, 40))) for _ in range(r.randint(1, 9))]
+        if kind < 0.4:
+            parts.insert(r.randrange(len(parts) + 1), r.choice(items))
+        if kind < 0.6:
+            parts.insert(r.randrange(len(parts) + 1), r.choice(shared))
+        if 0.6 < kind < 0.7:
+            parts += [parts[0]] * r.randint(1, 5)
+        texts.append("\n".join(parts))
+    texts += [None, "", " \n ", "few words", " ".join(say(5000))]
+    rows = list(enumerate(texts))
+    table = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    table.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want, ids = pipeline_by_hand(rows, items)
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((x["doc_id"], x["piece"], x["start"], x["length"], x["ids_crc32"]) for x in got) == Counter(want)
+    assert max(Counter((x["sequence_id"], x["offset"]) for x in got).values()) == 1
+    assert len(rows) > len(ids[0]) > len(ids[2]) > len(ids[3]) and len(ids[1]) >= len(ids[2])
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_agree_with_their_sql(spark, name):
     con = duckdb.connect()

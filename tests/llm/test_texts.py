@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import decontamination, packing, quality_rules, token_counts, toxicity
 from corpusmill.llm import textkit as tk
-from tests.llm.helpers import AZ, WORD, frame, messy_rows, simple, words
+from tests.llm.helpers import AZ, WORD, frame, later_share, messy_rows, plain, quality_by_hand, simple, words
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 NASTY = [" ", "\n", "\t", "a", "B", "é", " ", "　", "1", "'s", ".", "<|endoftext|>", "日", "\x1c", "😀", "́", " ", "  "]
@@ -214,28 +214,6 @@ def test_packing_round_trip(spark):
     assert packing.pack_documents(frame(spark, []), public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 
 
-def quality_by_hand(text):
-    w = words(text)
-    seen, dup = set(), 0
-    for line in (text or "").split("\n"):
-        if WORD.search(line):
-            dup += line in seen
-            seen.add(line)
-    grams = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
-    cover = {k for i in range(len(w) - 7) if grams[tuple(w[i : i + 8])] > 1 for k in range(i, i + 8)}
-    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(cover)
-
-
-def later_share(text, n):
-    w, seen, cover = words(text), set(), set()
-    for i in range(len(w) - n + 1):
-        g = tuple(w[i : i + n])
-        if g in seen:
-            cover.update(range(i, i + n))
-        seen.add(g)
-    return sum(len(w[k]) for k in cover) / max(1, sum(map(len, w)))
-
-
 def test_quality_rules(spark):
     rules = quality_rules.RepetitionRules()
     for r in quality_rules.repetition_measures(frame(spark), keep=("doc_id", "text")).collect():
@@ -251,15 +229,6 @@ def test_quality_rules(spark):
     assert quality_rules.repetition_measures(frame(spark, [])).count() == 0
 
 
-PLAIN = {c: c + 32 for c in range(65, 91)}
-
-
-def plain(text):
-    import re
-
-    return re.findall("[0-9a-z\u0080-\U0010ffff]+", (text or "").translate(PLAIN))
-
-
 def test_decontamination(spark):
     r = random.Random(8)
     v = ["".join(r.choices("abcdefghij", k=5)) for _ in range(500)]
