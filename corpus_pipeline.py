@@ -54,7 +54,7 @@ STAGES = [
     ("best_fit_packing", pack),
 ]
 
-#: No SQL: token ids, and the planner's packing, are beyond it. tests/llm holds the operators, not run(), against brute force.
+#: No SQL: token ids, and the plan of the packing, are beyond it. tests/llm holds run() against a brute-force version.
 ORACLE_SQL = None
 
 
