@@ -9,6 +9,7 @@ salted windows (a hot length is many groups) and look their slot up in the plan.
 from __future__ import annotations
 
 import bisect
+import itertools
 import json
 import os
 import zlib
@@ -27,7 +28,7 @@ from .token_counts import Memo, texts_of
 
 CAPACITY = 2048
 #: Bound on the search, some ten seconds of the driver; best-fit completes a dive at about so many places.
-SEARCH_STEPS, COMPLETIONS = 3_000_000, 8
+SEARCH_STEPS, COMPLETIONS, OPEN_NODES = 3_000_000, 8, 32
 Run = tuple[tuple[int, ...], int]
 
 
@@ -297,6 +298,18 @@ class Plan:
     proved: bool
 
 
+@dataclass
+class Node:
+    """A bin to be completed: its ways not tried yet, the waste before it, and how many ways were tried.
+
+    Only the deepest ``OPEN_NODES`` nodes keep their ways; others find them again, should the search come back.
+    """
+
+    ways: Iterator | None
+    waste: int
+    tried: int = 0
+
+
 def bin_completion(counts: dict[int, int], capacity: int, steps: int = SEARCH_STEPS) -> Plan:
     """Branch and bound by bin completion: best-fit is the first incumbent.
 
@@ -311,7 +324,7 @@ def bin_completion(counts: dict[int, int], capacity: int, steps: int = SEARCH_ST
     best = Plan(runs, sum(n for _, n in runs), lower_bound(counts, capacity), False)
     volume, budget = sum(s * c for s, c in counts.items()), Steps(steps)
     left, sizes, taken, waste = dict(counts), sorted(counts), [], 0
-    options: list[tuple[Iterator, int]] = []
+    options: list[Node] = []
     pause = next_fit = max(1, len(counts) // COMPLETIONS)
 
     def change(filling: tuple[int, ...], n: int) -> None:
@@ -352,13 +365,22 @@ def bin_completion(counts: dict[int, int], capacity: int, steps: int = SEARCH_ST
                     next_fit = len(taken) + pause
                     budget.take(4 * len(sizes))
                     keep(best_fit({s: left[s] for s in sizes}, capacity))
-                options.append((ways(), waste))
+                options.append(Node(ways(), waste))
+                if len(options) > OPEN_NODES:
+                    options[-1 - OPEN_NODES].ways = None
             while options:
                 if len(taken) == len(options):
                     filling, n = taken.pop()
                     change(filling, n)
-                    waste = options[-1][1]
-                way = next((w for w in options[-1][0] if waste + w[1] * w[2] <= afford()), None)
+                    waste = options[-1].waste
+                node, way = options[-1], None
+                if node.ways is None:
+                    node.ways = itertools.islice(ways(), node.tried, None)
+                for w in node.ways:
+                    node.tried += 1
+                    if waste + w[1] * w[2] <= afford():
+                        way = w
+                        break
                 if way:
                     filling, n, slack = way
                     taken.append((filling, n))

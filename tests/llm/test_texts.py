@@ -149,7 +149,9 @@ def fewest(pieces, capacity):
     return best
 
 
-def test_search_finds_the_optimum_of_small_cases():
+@pytest.mark.parametrize("open_nodes", [32, 1])
+def test_search_finds_the_optimum_of_small_cases(monkeypatch, open_nodes):
+    monkeypatch.setattr(packing, "OPEN_NODES", open_nodes)
     r = random.Random(12)
     beaten = 0
     for _ in range(250):
