@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SCHEMA = "url string, content string, selected_lines array<int>, is_ignored boolean, line_predictions array<double>"
 
 
+def read_annotations(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines, plain or zipped by their suffix; a malformed line fails the read."""
+    return spark.read.schema(SCHEMA).option("mode", "FAILFAST").json(path)
+
+
+def looked_up(rows: DataFrame, value: str, key: str = "url") -> DataFrame:
+    """The rows of one key."""
+    return rows.filter(F.col(key) == value)
+
+
 def with_defaults(rows: DataFrame) -> DataFrame:
     """Missing selections are empty, missing marks false."""
     return rows.withColumns(

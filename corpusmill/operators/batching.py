@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from ..config import ALL_DUMPS
 
 
+#: Lists of ids up to this length are sent to all executors.
+BROADCAST_ROWS = 100_000
+
+
 def group_bounds(n: int, group_size: float | None = None, num_groups: int | None = None) -> list[tuple[int, int]]:
     """Start and end of each group: ends are rounded half to even after adding up the (float) group size.
 
@@ -28,8 +32,12 @@ def group_bounds(n: int, group_size: float | None = None, num_groups: int | None
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "row_no") -> DataFrame:
-    """``df`` with the rows' numbers from 0 in the order of ``order``, which has to be unique."""
-    parts = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    """``df`` with the rows' numbers from 0 in the order of ``order``, which has to be unique.
+
+    The number of partitions is given, so that adaptive execution leaves them as they are in both uses of the exchange.
+    """
+    many = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = df.repartitionByRange(many, *order).withColumn("__part", F.spark_partition_id())
     within = Window.partitionBy("__part").orderBy(*order)
     placed = parts.withColumn("__in", F.row_number().over(within) - 1)
     sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))
@@ -53,8 +61,22 @@ def fixed_batches(df: DataFrame, order: list[str], n: int) -> DataFrame:
 
 
 def train_val_split(df: DataFrame, order: list[str], n_val: int = 100) -> DataFrame:
-    """The first ``n_val`` rows are for validation."""
-    return numbered(df, order).withColumn("split", F.when(F.col("row_no") < n_val, "val").otherwise("train"))
+    """The first ``n_val`` rows are for validation; ``order`` has to be unique. Only these rows are sent around."""
+    first = df.select(*[F.col(c).alias(f"__{c}") for c in order]).orderBy(*[f"__{c}" for c in order]).limit(n_val).withColumn("__val", F.lit(True))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in order]
+    told = df.join(F.broadcast(first) if n_val <= BROADCAST_ROWS else first, same, "left")
+    return told.select(*df.columns, F.when(F.col("__val"), "val").otherwise("train").alias("split"))
+
+
+def length_batches(df: DataFrame, ident: str, length: str, size: int = 16) -> DataFrame:
+    """``batch_no`` of rows in the order of their length, and ``pad_to``, the greatest length of the batch."""
+    batched = fixed_batches(df, [length, ident], size)
+    return batched.withColumn("pad_to", F.max(length).over(Window.partitionBy("batch_no"))).drop("row_no")
+
+
+def padded(tokens: Column, pad_to: Column, pad: Column) -> Column:
+    """A row's tokens, filled up to its batch's length."""
+    return F.concat(tokens, F.array_repeat(pad, (pad_to - F.size(tokens)).cast("int")))
 
 
 def by_token_length(df: DataFrame, ident: str, length: Column) -> DataFrame:
@@ -89,8 +111,11 @@ def zipped_shards(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFra
 
 
 def aligned(left: DataFrame, right: DataFrame, ident: str) -> DataFrame:
-    """Two stages' columns side by side, one row for each id that both have."""
-    return left.join(right, ident)
+    """Two stages' columns side by side. An id that only one of them has fails the run; see ``assert_aligned`` for repeats."""
+    a, b = left.withColumn("__l", F.lit(True)), right.withColumn("__r", F.lit(True))
+    both = F.col("__l").isNotNull() & F.col("__r").isNotNull()
+    odd = F.raise_error(F.concat(F.lit("only one of the stages has id "), F.coalesce(F.col(ident).cast("string"), F.lit("null"))))
+    return a.join(b, ident, "full_outer").filter(F.when(both, True).otherwise(odd.cast("boolean"))).drop("__l", "__r")
 
 
 def assert_aligned(left: DataFrame, right: DataFrame, ident: str) -> None:

@@ -296,7 +296,20 @@ def stage_align_join(spark, sf_dir):
     return batching.aligned(d.select("doc_id", "lang", "source"), d.select("doc_id", tx.content_length(F.col("text")).alias("content_length")), "doc_id")
 
 
-@query()
+_OWN_URL = "'https://' || source || '/' || doc_id"
+_IP_RUN = rf"^{tx.OCTET}(\.{tx.OCTET}){{3}}\.*$"
+# The patterns over whole runs of digits and dots, where no look-around is needed.
+_CLOSED = tx.NOT_PUBLIC.replace(r"192\.0\.0\.(?!9(?![0-9])|10(?![0-9]))|", "")
+_PUBLIC = rf"(NOT regexp_matches(x, '^(?:{_CLOSED})') AND (NOT starts_with(x, '192.0.0.') OR regexp_matches(x, '^192\.0\.0\.(9|10)\.*$')))"
+_MAIL_FREE = f"regexp_replace(text, '{tx.EMAIL}', '<email>', 'g')"
+_MASKED = f"""array_to_string(list_transform(regexp_extract_all({_MAIL_FREE}, '[0-9.]+|[^0-9.]+'),
+    lambda x: CASE WHEN regexp_matches(x, '{_IP_RUN}') AND {_PUBLIC} THEN '<ip>' || repeat('.', length(x) - length(rtrim(x, '.'))) ELSE x END), '')"""
+
+
+@query(
+    f"""SELECT doc_id, {_OWN_URL} AS url, {_MASKED} AS text, language FROM documents JOIN ({ORACLES["quality_filter"]}) USING (doc_id)
+    JOIN ({ORACLES["dedup_keep"]}) USING (doc_id) JOIN ({ORACLES["language_id"]}) USING (doc_id) WHERE passes_all_quality_filters AND dedup_keep"""
+)
 def release_export(spark, sf_dir):
     d = _docs(spark, sf_dir)
     docs = d.withColumns({"id": F.col("doc_id"), "url": F.concat(F.lit("https://"), "source", F.lit("/"), F.col("doc_id").cast("string"))})
@@ -314,7 +327,10 @@ def pii_emails(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", tx.email_count(F.col("text")).alias("n_emails"))
 
 
-@query()
+@query(
+    f"""WITH r AS (SELECT doc_id, list_filter(regexp_extract_all(text, '[0-9.]+'), lambda x: regexp_matches(x, '{_IP_RUN}')) AS r FROM documents)
+    SELECT doc_id, len(r)::BIGINT AS n_ips, len(list_filter(r, lambda x: {_PUBLIC}))::BIGINT AS n_public_ips FROM r"""
+)
 def pii_ips(spark, sf_dir):
     t = F.col("text")
     return _docs(spark, sf_dir).select("doc_id", tx.ip_count(t, False).alias("n_ips"), tx.ip_count(t).alias("n_public_ips"))
@@ -325,7 +341,7 @@ def pii_mask_emails(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", tx.mask_emails(F.col("text")).alias("masked"))
 
 
-@query()
+@query(f"SELECT doc_id, {_MASKED} AS masked FROM documents")
 def pii_mask(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", tx.mask_pii(F.col("text")).alias("masked"))
 
@@ -451,9 +467,9 @@ def shard_path_parse(spark, sf_dir):
     return s.select("page_id", dump.alias("dump"), shard.alias("shard"))
 
 
-@query()
+@query("SELECT doc_id, 'documents.parquet' AS shard FROM documents")
 def shard_lineage(spark, sf_dir):
-    return batching.with_lineage(_docs(spark, sf_dir)).select("doc_id", F.regexp_extract("shard", r"([^/]+)$", 1).alias("shard"))
+    return batching.with_lineage(_docs(spark, sf_dir)).select("doc_id", F.regexp_extract("shard", r"([^/]+\.parquet)", 1).alias("shard"))
 
 
 @query(f"WITH {_SHARDS} SELECT dump, shard, page_id * 2 AS l, page_id * 3 AS r FROM s")
@@ -546,10 +562,12 @@ def token_windows(spark, sf_dir):
     return lines.token_windows(_docs(spark, sf_dir), tx.token_length(F.col("text")), 600)
 
 
-@query()
+@query(f"WITH {_LINES} SELECT doc_id, line_no, round(length(rtrim(line, chr(10))) / (1.0 + length(rtrim(line, chr(10)))), 6)::DOUBLE AS score FROM e")
 def window_stitch(spark, sf_dir):
+    """The scores of all lines, stitched from windows: where these overlap a line is still scored once."""
     s = lines.stitched_scores(F.col("text"), 600)
-    return _spread(_docs(spark, sf_dir)).select("doc_id", F.size(s).alias("n_scores"))
+    each = _spread(_docs(spark, sf_dir)).select("doc_id", F.posexplode(s).alias("line_no", "score"))
+    return each.select("doc_id", "line_no", F.round("score", 6).alias("score"))
 
 
 # ---- images and markup -----------------------------------------------------------------------------------------
@@ -717,10 +735,30 @@ def annotation_upsert(spark, sf_dir):
     return annotate.upserted(a, a.filter("doc_id % 10 = 0").withColumn("content", F.lit("changed"))).select("url", "content")
 
 
+@query(
+    f"""WITH t AS (SELECT doc_id, {_TOKENS}::BIGINT AS token_length FROM documents),
+    n AS (SELECT *, (row_number() OVER (ORDER BY token_length, doc_id) - 1) // 16 AS batch_no FROM t)
+    SELECT doc_id, token_length, batch_no, max(token_length) OVER (PARTITION BY batch_no) AS pad_to FROM n"""
+)
+def length_batches(spark, sf_dir):
+    d = _docs(spark, sf_dir).select("doc_id", tx.token_length(F.col("text")).alias("token_length"))
+    return batching.length_batches(d, "doc_id", "token_length").select("doc_id", "token_length", "batch_no", "pad_to")
+
+
+@query("SELECT 'u' || doc_id AS url, text AS content FROM documents WHERE doc_id = 7")
+def annotation_lookup(spark, sf_dir):
+    return annotate.looked_up(_annotations(spark, sf_dir), "u7").select("url", "content")
+
+
 # ---- after the published description of the mining stage -------------------------------------------------------
 
 
-@query()
+@query(
+    f"""WITH {WORDS_SQL}, c AS (SELECT word, sum(n) AS c FROM k GROUP BY word), t AS (SELECT sum(c) AS t FROM c),
+    p AS (SELECT doc_id, sum(n * -ln(c / t)) / sum(n) AS surprisal FROM k JOIN c USING (word), t GROUP BY doc_id),
+    q AS (SELECT quantile_disc(surprisal, [1 / 3.0, 2 / 3.0]) AS q FROM p)
+    SELECT doc_id, round(surprisal, 6) AS surprisal, CASE WHEN surprisal <= q[1] THEN 'head' WHEN surprisal <= q[2] THEN 'middle' ELSE 'tail' END AS bucket FROM p, q"""
+)
 def perplexity_bucket(spark, sf_dir):
     """Mean unigram surprisal of a text's words, and its third of the corpus: head, middle or tail."""
     counts = features.word_counts(_docs(spark, sf_dir))
