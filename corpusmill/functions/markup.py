@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import html
 import re
+import signal
+import threading
 import unicodedata
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -192,9 +196,49 @@ def markdown_of(page: str | None) -> str | None:
         return None
 
 
+#: Fixed value: seconds that one page may take.
+PAGE_SECONDS = 60
+
+
+class TooSlow(Exception):
+    pass
+
+
+@contextmanager
+def time_limit(seconds: float) -> Iterator[None]:
+    """Raises TooSlow in the main thread (a Python worker's tasks run there) after so many seconds; elsewhere no limit."""
+    if threading.current_thread() is not threading.main_thread():
+        yield
+        return
+
+    def stop(*_):
+        raise TooSlow
+
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
+def limited(convert: Callable[[str | None], str | None], seconds: float = PAGE_SECONDS) -> Callable[[str | None], str | None]:
+    """``convert`` that gives None, as for a bad page, where one page takes too long."""
+
+    def run(page: str | None) -> str | None:
+        try:
+            with time_limit(seconds):
+                return convert(page)
+        except TooSlow:
+            return None
+
+    return run
+
+
 @F.pandas_udf(StringType())
 def html_to_markdown(pages: pd.Series) -> pd.Series:
-    return pages.map(markdown_of)
+    return pages.map(limited(markdown_of))
 
 
 def strip_scripts(page: Column) -> Column:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,22 @@ class Feature:
     columns: Callable[[Column, Column], dict[str, Column]]
 
 
+def executor_model(load: Callable[[], object], score: Callable[[object, str], object], kind: str) -> Callable[[Column], Column]:
+    """A model as a Column function: loaded once by each task at its first batch, then applied to every text.
+
+    Nulls stay null. ``load`` and ``score`` are shipped to the executors; the model itself is not.
+    """
+
+    @F.pandas_udf(kind)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = None
+        for texts in batches:
+            model = load() if model is None else model
+            yield texts.map(partial(score, model), na_action="ignore")
+
+    return lambda text: run(text)
+
+
 def default_features(filters: FilterConfig = FilterConfig(), language: Callable[[Column], Column] = tx.language) -> list[Feature]:
     domains, strategy = filters.blacklisted_domains, filters.parse_error_strategy
     return [

@@ -29,6 +29,45 @@ def default_line_score(line: Column) -> Column:
     return F.least(words, F.lit(30)) * 0.2 + share * 4.0 - F.when(line.rlike(r"\||https?:"), 3.0).otherwise(0.0) - 3.0
 
 
+def line_shape(line: Column) -> dict[str, Column]:
+    """What a line's shape tells, as numbers from 0 to about 1."""
+    n = F.length(line)
+    part = lambda kind: F.when(n == 0, F.lit(0.0)).otherwise(F.length(F.regexp_replace(line, kind, "")) / n)
+    words = F.size(F.filter(F.split(line, r"\s+"), lambda w: w != ""))
+    return {
+        "words": F.least(words, F.lit(30)) / 30.0, "length": F.least(n, F.lit(200)) / 200.0,
+        "letters": part(r"[^\p{L}]"), "digits": part(r"[^\p{N}]"), "marks": part(r"[^\p{P}\p{S}]"),
+        "link": F.when(line.rlike(r"\||https?:"), 1.0).otherwise(0.0), "ends": F.when(line.rlike(r"[.!?:]\s*$"), 1.0).otherwise(0.0),
+    }
+
+
+def fit_line_scorer(rows: DataFrame, line: str = "line", label: str = "label", regularisation: float = 0.01, rounds: int = 100) -> LineScorer:
+    """Logistic regression on the lines' shapes, fitted on all labelled rows; the scorer is a native Column of logits.
+
+    Rows without line or label are left out; with one kind of label only, the scorer is a constant.
+    """
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    shape = line_shape(F.col(line))
+    known = rows.filter(F.col(line).isNotNull() & F.col(label).isNotNull())
+    numbers = known.select(*[c.cast("double").alias(k) for k, c in shape.items()], F.col(label).cast("double").alias("label"))
+    seen = numbers.agg(F.min("label"), F.max("label")).first()
+    if seen[0] is None or seen[0] == seen[1]:
+        return lambda x: F.when(x.isNotNull(), F.lit(0.0 if seen[0] is None else 20.0 if seen[0] > 0 else -20.0))
+    vectors = VectorAssembler(inputCols=list(shape), outputCol="features").transform(numbers).select("features", "label")
+    model = LogisticRegression(regParam=regularisation, maxIter=rounds).fit(vectors)
+    weights, bias = [float(w) for w in model.coefficients], float(model.intercept)
+
+    def scorer(x: Column) -> Column:
+        logit = F.lit(bias)
+        for w, value in zip(weights, line_shape(x).values(), strict=True):
+            logit = logit + value * w
+        return logit
+
+    return scorer
+
+
 def line_scores(text: Column, scorer: LineScorer = default_line_score, compat: bool = False) -> Column:
     """A probability for each line."""
     return F.transform(tx.split_lines(text, compat), lambda x: tx.sigmoid(scorer(x)))

@@ -12,11 +12,20 @@ from ..operators import dedup, features, lines
 from ..operators.release import release
 
 
-def to_markdown(records: DataFrame) -> DataFrame:
-    """(id, url, warc_file, warc_date, warc_block_digest, content); pages that cannot be converted are left out."""
+def converted(records: DataFrame) -> DataFrame:
+    """(id, url, warc_file, warc_date, warc_block_digest, content); no content where a page fails or takes too long."""
     content = markup.html_to_markdown(markup.decode_html("payload"))
-    done = records.withColumn("content", content).filter(F.col("content").isNotNull())
-    return done.select("id", "url", tx.warc_suffix(F.col("warc_file")).alias("warc_file"), "warc_date", "warc_block_digest", "content")
+    return records.select("id", "url", tx.warc_suffix(F.col("warc_file")).alias("warc_file"), "warc_date", "warc_block_digest", content.alias("content"))
+
+
+def to_markdown(records: DataFrame) -> DataFrame:
+    """The converted pages; those that cannot be converted are left out."""
+    return converted(records).filter(F.col("content").isNotNull())
+
+
+def failed(pages: DataFrame) -> DataFrame:
+    """The side output: which of the ``converted`` pages (written and reread, so as not to convert twice) failed."""
+    return pages.filter(F.col("content").isNull()).drop("content")
 
 
 def to_text(pages: DataFrame, cfg: PipelineConfig = PipelineConfig(), scorer: lines.LineScorer = lines.default_line_score) -> DataFrame:

@@ -9,6 +9,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +51,41 @@ def byte_range_requests(index: DataFrame, per_request: int = 100) -> DataFrame:
     return each.select("filename", "request_no", F.concat(F.lit("bytes="), F.array_join(part, ", ")).alias("header"))
 
 
+def listed(spark: SparkSession, path: str, suffix: str = ".json.gz") -> DataFrame:
+    """(path, length) of the objects below ``path`` that end in ``suffix``; their contents are not read.
+
+    A folder that does not exist holds none; files of no bytes are not listed.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}")
+    try:
+        return files.load(path).select("path", "length")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, length long")
+
+
+def damaged(spark: SparkSession, path: str, suffix: str = ".gz") -> DataFrame:
+    """(path) of the gzip files below ``path`` that end early or fail their checksum; files of no bytes are not read."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"path": [p for p, raw in zip(batch["path"], batch["content"], strict=True) if not gzip_whole(bytes(raw))]}, dtype=object)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}")
+    return files.load(path).select("path", "content").mapInPandas(run, "path string")
+
+
+def gzip_whole(raw: bytes, step: int = 1 << 20) -> bool:
+    try:
+        with gzip.GzipFile(fileobj=io.BytesIO(raw)) as f:
+            while f.read(step):
+                pass
+    except (OSError, EOFError, zlib.error):
+        return False
+    return bool(raw)
+
+
 # ---- records ---------------------------------------------------------------------------------------------------
 
 
