@@ -146,6 +146,39 @@ def test_line_dedup(spark, small_table):
     assert line_dedup.line_report(df.limit(0)).count() == 0
 
 
+def test_line_dedup_rounds(spark, monkeypatch):
+    """Groups far larger than the first parts, at the production rarity table: several rounds lose no match."""
+    monkeypatch.setattr(line_dedup, "FIRST_PART", 2)
+    monkeypatch.setattr(line_dedup, "GROWTH", 2)
+    r = random.Random(8)
+    base = [[f"{g}w{i}" for i in range(20)] for g in range(4)]
+    rows = []
+    for k in range(60):
+        each = []
+        for _ in range(4):
+            w = [x for x in r.choice(base) if r.random() < 0.97]
+            for _ in range(r.randint(0, 3)):
+                w[r.randrange(len(w))] = f"x{r.randrange(40)}"
+            each.append(r.choice([" ", " \r", "\t"]).join(w))
+        rows.append((k, "\n".join(each)))
+    want = line_removals(rows)
+    got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x["doc_id"]: x["removed_lines"] for x in got} == {i: want.get((i, t), []) for i, t in rows}
+    assert any(not x["n_removed"] for x in got) or sum(x["n_removed"] for x in got) < 240
+
+
+def test_line_dedup_work(spark):
+    """Texts are split once, and the first round sends few entries of a node whose words are frequent."""
+    df = spark.createDataFrame([(k, " ".join(f"w{i}" for i in range(40)) + f" x{k}") for k in range(2000)], "doc_id long, text string")
+    rarity = line_dedup.materialise(line_dedup._rarity(df, "doc_id", "text"), "word-levels")
+    assert rarity.select(F.size("levels")).first()[0] == 1 << line_dedup.CELLS
+    lines = line_dedup._lines(df, "doc_id", "text", rarity, 80)
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("split(text") == 1
+    nodes = line_dedup._nodes(line_dedup.materialise(lines, "lines"))
+    assert nodes.count() == 2000 and nodes.select(F.size("prefix")).distinct().first()[0] == 9
+    assert line_dedup._entries(nodes, line_dedup.FIRST_PART, 10, True).count() <= 2000 * (1 + line_dedup.FEW) + 200
+
+
 def test_line_dedup_is_native():
     source = open(line_dedup.__file__).read()
     assert not re.search(r"pandas|Arrow|udf|\.rdd|collect\(\)", source)
