@@ -37,6 +37,18 @@ def test_query(spark, duck, name):
         assert got == sorted((tuple(plain(r[i]) for i in at) for r in cur.fetchall()), key=repr)
 
 
+@pytest.mark.parametrize("name", ["minhash_signature", "minhash_buckets"])
+def test_signatures_are_computed_once(spark, name):
+    df = catalogue.QUERIES[name](spark, SMALL)
+    assert df._jdf.queryExecution().executedPlan().toString().count("EvalPython") == 1
+
+
+def test_tasks_grow_in_number_not_in_size(spark, monkeypatch):
+    monkeypatch.setattr(catalogue, "TASK_BYTES", 10_000)
+    size = os.path.getsize(f"{SMALL}/documents.parquet")
+    assert catalogue._spread(catalogue._docs(spark, SMALL)).rdd.getNumPartitions() == -(-size // 10_000)
+
+
 def test_imports_without_the_pipeline():
     """The library does not import its llm subpackage."""
     import subprocess

@@ -107,6 +107,29 @@ def test_shingles_and_buckets():
     assert [int(x) for x in mh.signature(text)] == [min((int(p) * h + int(q)) % mh.P for h in want) for p, q in zip(a, b, strict=True)]
 
 
+def test_signatures_of_many_texts():
+    a, b, _, z = mh.constants()
+    r = random.Random(8)
+    texts = ["", "short", "a" * 16, "ab" * 5000] + ["".join(r.choices("abcdef é😀", k=k)) for k in (15, 16, 17, 33, 700, mh.CHUNK + 14, mh.CHUNK + 15, mh.CHUNK + 16, 20_000)]
+    sigs = mh.signatures(texts)
+    for text, sig, (n, low, high) in zip(texts, sigs, mh.shingle_summaries(texts), strict=True):
+        h = mh.shingle_hashes(mh.code_points(text), z, 4)
+        assert [int(x) for x in sig] == [int(mh.affine61(p, q, h).min()) if len(h) else mh.P for p, q in zip(a, b, strict=True)]
+        assert (n, low, high) == ((len(h), h.min(), h.max()) if len(h) else (0, 0, 0))
+    assert mh.bucket_values(sigs).tolist() == [mh.buckets(s) for s in sigs]
+
+
+def test_minima_where_fractions_wrap():
+    # values just below P wrap round in the fractions' error, and must not hide the least one
+    cfg = mh.MinHashConfig()
+    a, b, _, _ = (mh.constants(cfg)[k] for k in range(4))
+    back = pow(int(a[0]), -1, mh.P)
+    values = [(v - int(b[0])) * back % mh.P for v in (mh.P - 1, mh.P - 2, 1 << 40, (1 << 40) - 1, mh.P // 2)]
+    x = np.array([values[1:2] + values[:1], values[3:4] + values[4:], values[2:3] + values[4:]], dtype=np.uint64)
+    assert mh.least(x, np.array([0]), cfg)[0].tolist() == [(1 << 40) - 1]
+    assert mh.least(x, np.array([0, 1]), cfg)[0].tolist() == [(1 << 40) - 1, mh.P // 2]
+
+
 def test_markdown():
     page = """<html><head><title>x</title></head><body><script>var t="</p>";</script><h2>Head <b>line</b></h2><p>One<br>two &amp; <a href=x><b>t</b></a>
     <p>Next <i>it</i><ul><li>a<li>b</ul><ol><li>c</ol><blockquote><p>q</p></blockquote><pre>x
