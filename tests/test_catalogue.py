@@ -49,6 +49,22 @@ def test_tasks_grow_in_number_not_in_size(spark, monkeypatch):
     assert catalogue._spread(catalogue._docs(spark, SMALL)).rdd.getNumPartitions() == -(-size // 10_000)
 
 
+def rows_of(spark, duck, name, folder, table, rows, schema):
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{table}.parquet")
+    got = [tuple(r) for r in catalogue.QUERIES[name](spark, str(folder)).collect()]
+    con = duckdb.connect()
+    con.execute(f"create view {table} as select * from '{folder}/{table}.parquet/*.parquet'")
+    sql = catalogue.ORACLES[name]
+    return sorted(got), lambda text=sql: sorted(con.execute(text).fetchall())
+
+
+def test_affine_of_large_keys(spark, duck, tmp_path):
+    rows = [(k, 1 + k % 7, 3 * k, k) for k in (0, 1, 921_000, 922_000, 36_000_000, 1 << 40)]
+    got, want = rows_of(spark, duck, "affine_61", tmp_path, "lineitem", rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
+    wide = catalogue.ORACLES["affine_61"].replace("l_orderkey *", "l_orderkey::HUGEINT *").replace("l_suppkey *", "l_suppkey::HUGEINT *").replace("l_partkey *", "l_partkey::HUGEINT *")
+    assert got == want(wide)
+
+
 def test_imports_without_the_pipeline():
     """The library does not import its llm subpackage."""
     import subprocess
