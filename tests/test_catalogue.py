@@ -65,6 +65,14 @@ def test_affine_of_large_keys(spark, duck, tmp_path):
     assert got == want(wide)
 
 
+@pytest.mark.parametrize("name", ["line_filter", "line_filter_strict"])
+def test_texts_without_lines(spark, duck, tmp_path, name):
+    long = "some words that make a line which is long enough to be kept by its score of words and letters alone here\n"
+    texts = [None, "", "\n", "\n\n", "a", long, f"{long}\n{long}", f"x\n{long}", "\r\n", " "]
+    got, want = rows_of(spark, duck, name, tmp_path, "documents", list(enumerate(texts)), "doc_id long, text string")
+    assert got == want() and len(got) == len(texts) - 2
+
+
 def test_imports_without_the_pipeline():
     """The library does not import its llm subpackage."""
     import subprocess
