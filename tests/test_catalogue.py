@@ -3,10 +3,12 @@
 import glob
 import math
 import os
+import random
 
 import duckdb
 import pytest
 
+from corpusmill.operators import features
 from corpusmill.plans import catalogue
 from tests.conftest import SMALL
 
@@ -73,6 +75,14 @@ def test_texts_without_lines(spark, duck, tmp_path, name):
     assert got == want() and len(got) == len(texts) - 2
 
 
+def test_discrete_quantiles(spark):
+    r = random.Random(4)
+    for values in ([r.gauss(9, 1) for _ in range(30_001)], [1.5] * 50 + [2.5] * 50, [1.0, 1.0 + 2**-52, 3e300, -1e300, 5e-324], [7.0], []):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        told = duckdb.execute("select quantile_disc(v, [1 / 3.0, 2 / 3.0]) from (select unnest(?::double[]) as v)", [values]).fetchone()[0]
+        assert features.discrete_quantiles(df, "v", (1 / 3, 2 / 3)) == (told or [None, None])
+
+
 def test_imports_without_the_pipeline():
     """The library does not import its llm subpackage."""
     import subprocess
