@@ -51,8 +51,8 @@ def heading_ratio(text: Column) -> Column:
     lines = F.split(text, "\n")
     headings = F.size(F.filter(lines, lambda x: x.startswith("#")))
     rest = F.array_join(F.filter(lines, lambda x: ~x.startswith("#")), "\n")
-    n = F.size(words(rest))
-    return F.when(text.isNull(), None).when(n == 0, F.lit(0.0)).otherwise(headings / n)
+    # the words are written once, as what is written twice in a condition and its outcome is computed twice
+    return F.when(text.isNull(), None).otherwise(F.coalesce(F.try_divide(headings, F.size(words(rest))), F.lit(0.0)))
 
 
 def unigram_entropy(text: Column) -> Column:
@@ -176,6 +176,10 @@ def language(text: Column) -> Column:
     place through ``operators.features.Feature``.
     """
     padded = F.concat(F.lit(" "), F.replace(F.lower(F.replace(text, F.lit("\n"), F.lit(""))), F.lit(" "), F.lit("  ")), F.lit(" "))
-    counts = [F.struct(F.regexp_count(padded, F.lit(" (" + "|".join(w) + ") ")).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("l")) for k, (name, w) in enumerate(STOP_WORDS.items())]
-    best = F.array_max(F.array(*counts))
-    return F.when(text.isNull(), None).when(best["n"] == 0, F.lit("und")).otherwise(best["l"])
+
+    def best(t: Column) -> Column:
+        counts = [F.struct(F.regexp_count(t, F.lit(" (" + "|".join(w) + ") ")).alias("n"), F.lit(-k).alias("k"), F.lit(name).alias("l")) for k, (name, w) in enumerate(STOP_WORDS.items())]
+        return F.array_max(F.array(F.struct(F.lit(0).alias("n"), F.lit(1).alias("k"), F.lit("und").alias("l")), *counts))["l"]
+
+    # a variable of a function over one element: the padded text is made once for all languages
+    return F.when(text.isNull(), None).otherwise(F.transform(F.array(padded), best)[0])

@@ -52,11 +52,17 @@ def default_features(filters: FilterConfig = FilterConfig(), language: Callable[
     ]
 
 
-def with_features(docs: DataFrame, features: list[Feature], url: str = "url", text: str = "text") -> DataFrame:
-    """One projection adds all features' columns."""
+def with_features(docs: DataFrame, features: list[Feature], url: str = "url", text: str = "text", once: bool = False) -> DataFrame:
+    """One projection adds all features' columns.
+
+    ``once``: behind a generator, which keeps Catalyst from writing a feature out again wherever a filter reads it. All of
+    ``features`` are computed then, read or not.
+    """
     added: dict[str, Column] = {}
     for f in features:
         added |= f.columns(F.col(url), F.col(text))
+    if once:
+        return docs.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in added.items()]))))
     return docs.withColumns(added)
 
 

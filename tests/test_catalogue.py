@@ -45,6 +45,11 @@ def test_signatures_are_computed_once(spark, name):
     assert df._jdf.queryExecution().executedPlan().toString().count("EvalPython") == 1
 
 
+def test_release_computes_features_once(spark):
+    plan = catalogue.release_export(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("startswith") + plan.count("StartsWith") <= 2, plan  # lines with and without #, in one heading ratio
+
+
 def test_tasks_grow_in_number_not_in_size(spark, monkeypatch):
     monkeypatch.setattr(catalogue, "TASK_BYTES", 10_000)
     size = os.path.getsize(f"{SMALL}/documents.parquet")
