@@ -144,7 +144,7 @@ def ip_count(text: Column, public_only: bool = True) -> Column:
 
 
 def mask_emails(text: Column, mark: str = "<email>") -> Column:
-    return F.regexp_replace(text, EMAIL, mark)
+    return F.when(text.contains("@"), F.regexp_replace(text, EMAIL, mark)).otherwise(text)  # a plain search first
 
 
 def mask_ips(text: Column, public_only: bool = True, mark: str = "<ip>") -> Column:
@@ -153,9 +153,9 @@ def mask_ips(text: Column, public_only: bool = True, mark: str = "<ip>") -> Colu
 
 def mask_pii(text: Column, emails: bool = True, ips: bool = True, public_only: bool = True) -> Column:
     """E-mail and (public) IPv4 addresses replaced; the marks match neither pattern, so masking twice is masking once."""
-    if emails:
-        text = mask_emails(text)
-    return mask_ips(text, public_only) if ips else text
+    masked = mask_emails(text) if emails else text
+    # the marks join no digits, so that a text without such a pair has no address after masking either
+    return F.when(text.rlike(r"[0-9]\.[0-9]"), mask_ips(masked, public_only)).otherwise(masked) if ips else masked
 
 
 # ---- language --------------------------------------------------------------------------------------------------
